@@ -82,7 +82,8 @@ class IncrementalTable:
         schema = struct_of(cols)
         if not paths:
             return spark.createDataFrame([], schema)
-        return spark.read.schema(schema).parquet(*paths)
+        # The folders are already chosen by name, so no partition columns are inferred.
+        return spark.read.schema(schema).option("recursiveFileLookup", "true").parquet(*paths)
 
     def current(self, spark: SparkSession) -> DataFrame:
         """Row in force per key."""
