@@ -8,7 +8,7 @@ REGION = "CASE r_name WHEN 'ASIA' THEN 'NE' WHEN 'AFRICA' THEN 'N' WHEN 'AMERICA
 SUBSYSTEM = "CASE {} WHEN 'N' THEN 'Norte' WHEN 'NE' THEN 'Nordeste' WHEN 'S' THEN 'Sul' WHEN 'SE' THEN 'Sudeste/Centro-Oeste' END"
 KIND = "CASE l_returnflag WHEN 'A' THEN 'Eólica' WHEN 'R' THEN 'Solar' WHEN 'N' THEN 'Térmica' END"
 POINT_KIND = "CASE l_returnflag WHEN 'A' THEN 'eolica' WHEN 'R' THEN 'solar' ELSE 'capital' END"
-DELIVERED = "CAST(CAST(l_quantity AS DECIMAL(18,4)) * (1 - CAST(l_discount AS DECIMAL(18,4))) AS DOUBLE)"
+DELIVERED = "(l_quantity - round(l_discount * 100) / 16)"
 INGESTED = "make_timestamp(l_orderkey * 8 + l_linenumber)"
 PLACES = """lineitem JOIN supplier ON l_suppkey = s_suppkey JOIN nation ON s_nationkey = n_nationkey
   JOIN region ON n_regionkey = r_regionkey"""
@@ -44,7 +44,7 @@ CAPACITY = f"""cap_all AS (
     SELECT {HOUR} AS data_hora, CAST(l_suppkey AS VARCHAR) AS id_ons, s_name AS nome_usina, {KIND} AS tipo_usina,
       {REGION} AS id_subsistema, n_name AS uf, r_name AS localizacao, s_acctbal / 1000 AS lat, s_acctbal / -500 AS lon,
       l_quantity AS prog, CASE WHEN l_tax = 0.08 THEN NULL ELSE {DELIVERED} END AS verif,
-      l_quantity * (1 - l_discount) / 50 AS fator, {INGESTED} AS ingerido_em
+      {DELIVERED} / 50 AS fator, {INGESTED} AS ingerido_em
     FROM {PLACES})),
 cap AS (SELECT * FROM cap_all WHERE subsistema IS NOT NULL QUALIFY row_number() OVER (
   PARTITION BY data_hora, id_ons
@@ -67,8 +67,8 @@ def _hours(pick: str, extra: str = "") -> str:
     also = f", {extra}" if extra else ""
     return f"""SELECT lower(n_name) || '-' || {POINT_KIND} AS ponto_id, n_name AS uf, {POINT_KIND} AS tipo_ponto,
     CAST(l_shipdate AS DATE) AS dia, {HOUR} AS data_hora{also},
-    {pick}(l_quantity) AS vento_velocidade_100m_kmh, {pick}(l_discount) * 10000 AS radiacao_solar_wm2,
-    {pick}(l_tax) * 1000 AS cobertura_nuvens_pct, {pick}(l_quantity) / 2 + 10 AS temperatura_c,
+    {pick}(l_quantity) AS vento_velocidade_100m_kmh, round({pick}(l_discount) * 100) * 100 AS radiacao_solar_wm2,
+    round({pick}(l_tax) * 100) * 10 AS cobertura_nuvens_pct, {pick}(l_quantity) / 2 + 10 AS temperatura_c,
     CAST({pick}(l_linenumber) AS DOUBLE) AS precipitacao_mm, max(l_orderkey) AS newest
   FROM {PLACES} GROUP BY ALL"""
 
@@ -262,34 +262,29 @@ ORACLE: dict[str, str] = {
   data_hora, {WEATHER}, {BLANK_WEATHER},
   make_timestamp(max(newest) OVER (PARTITION BY ponto_id, dia, horizonte_dias)) AS ingerido_em FROM fc""",
     "capacity_factor_monthly": _with(CAPACITY, MONTHLY) + f"""SELECT mes, uf, tipo_usina, usinas,
-  round(geracao_verificada_mwh, 6) AS geracao_verificada_mwh, round(geracao_programada_mwh, 6) AS geracao_programada_mwh,
-  round(capacidade_mwh, 6) AS capacidade_mwh, round({RATIO.format('geracao_verificada_mwh', 'capacidade_mwh')}, 6) AS fator_capacidade,
-  round({RATIO.format('geracao_programada_mwh', 'capacidade_mwh')}, 6) AS fator_capacidade_programado FROM monthly""",
-    "shortfall_daily": _with(SCHEDULE, DAILY) + f"""SELECT data, usinas, round(previsto_mwh, 6) AS previsto_mwh,
-  round(programado_mwh, 6) AS programado_mwh, round(restricao_mwh, 6) AS restricao_mwh,
-  round({RATIO.format('restricao_mwh', 'previsto_mwh')}, 6) AS restricao_pct, round(share, 6) AS meias_horas_com_restricao_pct FROM daily""",
-    "shortfall_by_plant_monthly": _with(SCHEDULE, PLANTS) + f"""SELECT mes, codigo_usina, nome_usina, round(previsto_mwh, 6) AS previsto_mwh,
-  round(restricao_mwh, 6) AS restricao_mwh, round({RATIO.format('restricao_mwh', 'previsto_mwh')}, 6) AS restricao_pct FROM plants""",
-    "schedule_error_monthly": _with(CAPACITY, ERRORS) + f"""SELECT mes, uf, tipo_usina, round(geracao_programada_mwh, 6) AS geracao_programada_mwh,
-  round(geracao_verificada_mwh, 6) AS geracao_verificada_mwh, round(erro_absoluto_mwh, 6) AS erro_absoluto_mwh,
-  round({RATIO.format('erro_absoluto_mwh', 'geracao_verificada_mwh')}, 6) AS erro_relativo,
-  round({RATIO.format('(geracao_verificada_mwh - geracao_programada_mwh)', 'geracao_programada_mwh')}, 6) AS vies_relativo FROM errors""",
+  geracao_verificada_mwh, geracao_programada_mwh,
+  capacidade_mwh, {RATIO.format('geracao_verificada_mwh', 'capacidade_mwh')} AS fator_capacidade,
+  {RATIO.format('geracao_programada_mwh', 'capacidade_mwh')} AS fator_capacidade_programado FROM monthly""",
+    "shortfall_daily": _with(SCHEDULE, DAILY) + f"""SELECT data, usinas, previsto_mwh,
+  programado_mwh, restricao_mwh,
+  {RATIO.format('restricao_mwh', 'previsto_mwh')} AS restricao_pct, share AS meias_horas_com_restricao_pct FROM daily""",
+    "shortfall_by_plant_monthly": _with(SCHEDULE, PLANTS) + f"""SELECT mes, codigo_usina, nome_usina, previsto_mwh,
+  restricao_mwh, {RATIO.format('restricao_mwh', 'previsto_mwh')} AS restricao_pct FROM plants""",
+    "schedule_error_monthly": _with(CAPACITY, ERRORS) + f"""SELECT mes, uf, tipo_usina, geracao_programada_mwh,
+  geracao_verificada_mwh, erro_absoluto_mwh,
+  {RATIO.format('erro_absoluto_mwh', 'geracao_verificada_mwh')} AS erro_relativo,
+  {RATIO.format('(geracao_verificada_mwh - geracao_programada_mwh)', 'geracao_programada_mwh')} AS vies_relativo FROM errors""",
     "weather_and_generation": _with(CAPACITY, OBSERVED, JOINED) + """SELECT data_hora, uf, tipo_usina, ponto_id,
-  round(g, 6) AS geracao_verificada_mwmed, c AS capacidade_mw, round(f, 6) AS fator_capacidade, round(vento_100m_ms, 6) AS vento_100m_ms,
-  round(radiacao_solar_wm2, 6) AS radiacao_solar_wm2, round(cobertura_nuvens_pct, 6) AS cobertura_nuvens_pct,
-  round(temperatura_c, 6) AS temperatura_c, precipitacao_mm FROM wg""",
+  g AS geracao_verificada_mwmed, c AS capacidade_mw, f AS fator_capacidade, vento_100m_ms,
+  radiacao_solar_wm2, cobertura_nuvens_pct,
+  temperatura_c, precipitacao_mm FROM wg""",
     "power_curve": _with(CAPACITY, OBSERVED, JOINED, CURVE) + """SELECT tipo_usina, variavel, faixa_inicio, faixa_fim, horas,
-  round(fator_capacidade, 6) AS fator_capacidade, round(p25, 6) AS fator_capacidade_p25, round(p75, 6) AS fator_capacidade_p75 FROM curve""",
+  fator_capacidade, p25 AS fator_capacidade_p25, p75 AS fator_capacidade_p75 FROM curve""",
     "weather_correlation": _with(CAPACITY, OBSERVED, JOINED, CORRELATION) + """SELECT uf, tipo_usina, variavel,
   round(correlacao, 6) AS correlacao, horas FROM corrs""",
-    "weather_accuracy": _with(FORECAST, OBSERVED, ACCURACY) + "SELECT mes, ponto_id, uf, tipo_ponto, horas, " + ", ".join(
-        f"round({c}, 6) AS {c}" for c in (
-            "vento_100m_observado_kmh", "erro_medio_absoluto_vento_100m_kmh", "vies_vento_100m_kmh", "radiacao_observada_wm2",
-            "erro_medio_absoluto_radiacao_wm2", "vies_radiacao_wm2", "erro_medio_absoluto_temperatura_c",
-        )
-    ) + " FROM acc",
-    "load_and_temperature": _with(LOAD, OBSERVED, HEAT) + """SELECT data, carga_mwmed, round(temperatura_media_c, 6) AS temperatura_media_c,
-  round(temperatura_maxima_c, 6) AS temperatura_maxima_c, CAST(isodow(data) AS INTEGER) AS dia_semana, isodow(data) >= 6 AS fim_de_semana FROM heat""",
+    "weather_accuracy": _with(FORECAST, OBSERVED, ACCURACY) + "SELECT * FROM acc",
+    "load_and_temperature": _with(LOAD, OBSERVED, HEAT) + """SELECT data, carga_mwmed, temperatura_media_c,
+  temperatura_maxima_c, CAST(isodow(data) AS INTEGER) AS dia_semana, isodow(data) >= 6 AS fim_de_semana FROM heat""",
     "report_headlines": _with(CAPACITY, MONTHLY, SCHEDULE, DAILY, OBSERVED, JOINED, CORRELATION, FORECAST, ACCURACY) + """SELECT
   (SELECT round(sum(geracao_verificada_mwh) / sum(capacidade_mwh) * 100, 1) FROM monthly
     WHERE tipo_usina = 'Eólica' AND month(mes) BETWEEN 7 AND 10) AS fator_eolico_safra_pct,

@@ -1,7 +1,7 @@
 """One query per operator or dataset, over the star-schema test tables.
 
 ``(spark, sf_dir) -> DataFrame``. Results are tidied for comparison with SQL:
-doubles rounded to six places, instants as wall clock, arrays as text.
+inexact doubles rounded to six places, instants as wall clock, arrays as text.
 """
 
 from __future__ import annotations
@@ -36,12 +36,12 @@ RULES = {"value_in_range": "value BETWEEN 5 AND 150", "not_error": "nullif(event
 WARNINGS = {"long_props": "nullif(value, 6.55) < 100"}
 
 
-def tidy(df: DataFrame) -> DataFrame:
+def tidy(df: DataFrame, places: int | None) -> DataFrame:
     shown = []
     for field in df.schema:
         value = F.col(field.name)
         if isinstance(field.dataType, (T.DoubleType, T.FloatType)):
-            value = F.round(value.cast("double"), 6)
+            value = value.cast("double") if places is None else F.round(value.cast("double"), places)
         elif isinstance(field.dataType, T.TimestampType):
             value = value.cast("timestamp_ntz")
         elif isinstance(field.dataType, T.ArrayType):
@@ -50,11 +50,16 @@ def tidy(df: DataFrame) -> DataFrame:
     return df.select(*shown)
 
 
-def query(function: Query) -> Query:
-    QUERIES[function.__name__] = lambda spark, sf_dir: tidy(function(spark, sf_dir))
+def query(function: Query, places: int | None = 6) -> Query:
+    QUERIES[function.__name__] = lambda spark, sf_dir: tidy(function(spark, sf_dir), places)
     return function
 
 
+def exact(function: Query) -> Query:
+    """A query over values whose sums are exact, so nothing needs rounding."""
+    return query(function, None)
+
+
 # --- clean tables: standardize, validate, current, history, versions ---------------------
 
 RAW = {
@@ -190,32 +195,32 @@ def metric(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return compute_metrics(wanted, lambda clean_name: current(spark, sf_dir, clean_name))[name]
 
 
-@query
+@exact
 def capacity_factor_monthly(spark, sf_dir):
     return metric(spark, sf_dir, "aproveitamento_mensal")
 
 
-@query
+@exact
 def shortfall_daily(spark, sf_dir):
     return metric(spark, sf_dir, "restricao_geracao_diaria")
 
 
-@query
+@exact
 def shortfall_by_plant_monthly(spark, sf_dir):
     return metric(spark, sf_dir, "restricao_geracao_por_usina")
 
 
-@query
+@exact
 def schedule_error_monthly(spark, sf_dir):
     return metric(spark, sf_dir, "precisao_programacao_mensal")
 
 
-@query
+@exact
 def weather_and_generation(spark, sf_dir):
     return metric(spark, sf_dir, "clima_x_geracao_horaria")
 
 
-@query
+@exact
 def power_curve(spark, sf_dir):
     return metric(spark, sf_dir, "curva_de_potencia")
 
@@ -225,12 +230,12 @@ def weather_correlation(spark, sf_dir):
     return metric(spark, sf_dir, "correlacao_clima_geracao")
 
 
-@query
+@exact
 def weather_accuracy(spark, sf_dir):
     return metric(spark, sf_dir, "precisao_previsao_tempo")
 
 
-@query
+@exact
 def load_and_temperature(spark, sf_dir):
     return metric(spark, sf_dir, "carga_x_temperatura")
 

@@ -39,9 +39,14 @@ def _hour() -> Column:
     return F.col("l_shipdate") + F.make_dt_interval(hours=F.col("l_linenumber"))
 
 
+def _sixteenths(value: str) -> Column:
+    """Whole percents as sixteenths: sums of them are exact in any order, on any engine."""
+    return F.round(F.col(value) * 100) / 16
+
+
 def _delivered() -> Column:
-    """Quantity after discount, exact."""
-    return F.col("l_quantity").cast("decimal(18,4)") * (F.lit(1) - F.col("l_discount").cast("decimal(18,4)"))
+    """Quantity less the discount."""
+    return F.col("l_quantity") - _sixteenths("l_discount")
 
 
 def _text(value: Column) -> Column:
@@ -86,7 +91,7 @@ def raw_capacity(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.col("l_quantity").cast("string").alias("val_geracaoprogramada"),
         _text(_delivered()).alias("val_geracaoverificada"),
         F.lit("50.0").alias("val_capacidadeinstalada"),
-        (F.col("l_quantity") * (1 - F.col("l_discount")) / 50).alias("val_fatorcapacidade"),
+        (_delivered() / 50).alias("val_fatorcapacidade"),
         _ingested().alias(INGESTED_AT),
     )
 
@@ -151,8 +156,8 @@ def _weather_hours(spark: SparkSession, sf_dir: str, pick, groups: list[Column])
         )
         .agg(
             pick("l_quantity").alias("wind_speed_100m"),
-            (pick("l_discount") * 10000).alias("shortwave_radiation"),
-            (pick("l_tax") * 1000).alias("cloud_cover"),
+            (F.round(pick("l_discount") * 100) * 100).alias("shortwave_radiation"),
+            (F.round(pick("l_tax") * 100) * 10).alias("cloud_cover"),
             (pick("l_quantity") / 2 + 10).alias("temperature_2m"),
             pick("l_linenumber").cast("double").alias("precipitation"),
             F.max("l_orderkey").alias("_newest"),
