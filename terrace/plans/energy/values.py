@@ -107,6 +107,67 @@ WEATHER_VARIABLES = (
     ("is_day", "periodo_diurno", "boolean", "True between sunrise and sunset"),
 )
 
+# Layouts of the raw tables, without the source label.
+_POINT = (
+    "ponto_id string, uf string, tipo_ponto string, latitude_requested double, longitude_requested double"
+)
+RAW_LAYOUTS = {
+    "ons.carga_energia": (
+        "id_subsistema string, nom_subsistema string, din_instante timestamp, "
+        "val_cargaenergiamwmed double, ingestion_timestamp timestamp"
+    ),
+    "ons.geracao_usina": (
+        "din_instante timestamp, id_subsistema string, nom_subsistema string, id_estado string, "
+        "nom_estado string, cod_modalidadeoperacao string, nom_tipousina string, nom_tipocombustivel string, "
+        "nom_usina string, id_ons string, ceg string, val_geracao double, ingestion_timestamp timestamp"
+    ),
+    "ons.fator_capacidade": (
+        "id_subsistema string, nom_subsistema string, id_estado string, nom_estado string, "
+        "cod_pontoconexao string, nom_pontoconexao string, nom_localizacao string, "
+        "val_latitudesecoletora double, val_longitudesecoletora double, val_latitudepontoconexao double, "
+        "val_longitudepontoconexao double, nom_modalidadeoperacao string, nom_tipousina string, "
+        "nom_usina_conjunto string, id_ons string, ceg string, din_instante timestamp, "
+        "val_geracaoprogramada string, val_geracaoverificada string, val_capacidadeinstalada string, "
+        "val_fatorcapacidade double, ingestion_timestamp timestamp"
+    ),
+    "ons.previsao_programado_eolsol": (
+        "dat_programacao string, num_patamar int, cod_usinapdp string, nom_usinapdp string, "
+        "val_previsao string, val_programado string, ingestion_timestamp timestamp"
+    ),
+    "open_meteo.previsao_bruta": (
+        f"{_POINT}, data_referencia string, data_prevista string, horizonte_dias bigint, "
+        "raw_response string, ingestion_timestamp timestamp"
+    ),
+    "open_meteo.previsao_historica_bruta": (
+        f"{_POINT}, start_date string, end_date string, horizonte_dias bigint, "
+        "raw_response string, ingestion_timestamp timestamp"
+    ),
+    "open_meteo.historico_observado": (
+        f"{_POINT}, start_date string, end_date string, raw_response string, ingestion_timestamp timestamp"
+    ),
+}
+
+# Ingestion feeds: pipeline, source label, raw table, file published per period.
+FEEDS = {
+    "previsao": ("01_forecast_clima", "open-meteo-forecast-daily", "open_meteo.previsao_bruta", None),
+    "geracao": ("02_geracao_usina", "ons-geracao-usina-daily", "ons.geracao_usina", "GERACAO_USINA-2_{:%Y_%m}.parquet"),
+    "capacidade": (
+        "03_fator_capacidade", "ons-fator-capacidade-monthly", "ons.fator_capacidade", "FATOR_CAPACIDADE-2_{:%Y_%m}.parquet",
+    ),
+    "programacao": (
+        "04_previsao_programado", "ons-previsao-programado-daily", "ons.previsao_programado_eolsol",
+        "PROGRAMACAO_X_PREVISAO_{:%Y_%m_%d}.parquet",
+    ),
+    "carga": ("05_carga_energia", "ons-carga-energia-weekly", "ons.carga_energia", "CARGA_ENERGIA_{:%Y}.parquet"),
+    "observado": ("06_historical_clima", "open-meteo-historical-weekly", "open_meteo.historico_observado", None),
+    "previsao_anterior": (
+        "07_previsao_clima_historica", "open-meteo-previous-runs", "open_meteo.previsao_historica_bruta", None,
+    ),
+}
+LOAD_WINDOW_DAYS = 60
+SCHEDULE_LAG_DAYS = 1
+OBSERVED_LAG_DAYS = (16, 10)
+
 # Column names and types of the clean tables.
 POINT_COLUMNS = columns(
     ("ponto_id", "string", "Weather point: center of one kind of plants in a state, or a capital"),

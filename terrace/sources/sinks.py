@@ -3,11 +3,13 @@
 from __future__ import annotations
 
 import datetime as dt
+import json
 from collections.abc import Mapping, Sequence
 from functools import reduce
 
 from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from terrace.sources.align import align_to_schema
 from terrace.sources.files import list_names, path_exists, publish_small, read_small
@@ -17,9 +19,37 @@ INGESTED_AT = "ingestion_timestamp"
 SOURCE = "source"
 
 
+def raw_schema(spark: SparkSession, path: str) -> T.StructType | None:
+    """Schema of a raw table, None before its first append.
+
+    Appends keep it in a small file, so neither a reader nor the next append has to
+    merge the footers of all data files. Tables written otherwise are merged once.
+    """
+    kept = [n for n in list_names(spark, f"{path}/_schema") if not n.endswith(".tmp")]
+    if kept:
+        return T.StructType.fromJson(json.loads(read_small(spark, f"{path}/_schema/{kept[-1]}")))
+    if not path_exists(spark, path):
+        return None
+    return spark.read.option("mergeSchema", "true").parquet(path).schema
+
+
 def read_raw(spark: SparkSession, path: str) -> DataFrame:
     """Raw table with the union of the columns its files ever had."""
-    return spark.read.option("mergeSchema", "true").parquet(path)
+    schema = raw_schema(spark, path.rstrip("/"))
+    if schema is None:
+        raise FileNotFoundError(path)
+    return spark.read.schema(schema).parquet(path)
+
+
+def _keep_schema(spark: SparkSession, path: str, known: T.StructType | None, arriving: T.StructType) -> None:
+    """Record new columns before their data is written; existing ones keep type and place."""
+    fields = list(known.fields) if known else []
+    present = {f.name for f in fields}
+    added = [f for f in arriving if f.name not in present]
+    versions = [n for n in list_names(spark, f"{path}/_schema") if not n.endswith(".tmp")]
+    if added or not versions:
+        text = T.StructType([*fields, *added]).json()
+        publish_small(spark, f"{path}/_schema/{len(versions):06d}", text)
 
 
 def append_raw(
@@ -34,11 +64,13 @@ def append_raw(
     Types follow the table (``align_to_schema``), new columns are accepted. The
     count is observed by the write itself, so the source is not read again.
     """
-    spark = df.sparkSession
-    if path_exists(spark, path):
-        df = align_to_schema(df, read_raw(spark, path).schema)
+    spark, path = df.sparkSession, path.rstrip("/")
+    known = raw_schema(spark, path)
+    if known is not None:
+        df = align_to_schema(df, known)
     written = Observation()
     stamped = df.withColumns({INGESTED_AT: F.lit(ingested_at), SOURCE: F.lit(source)})
+    _keep_schema(spark, path, known, stamped.schema)
     stamped.observe(written, F.count(F.lit(1)).alias("rows")).write.mode("append").partitionBy(*partition_by).parquet(path)
     return int(written.get["rows"])
 

@@ -9,48 +9,9 @@ sys.path.insert(0, os.path.dirname(os.path.dirname(os.path.abspath(__file__))))
 
 from pyspark.sql import functions as F
 
+from terrace.plans.energy.values import RAW_LAYOUTS as RAW
 from terrace.session import build_session
 
-# Layouts of the raw tables.
-POINT = (
-    "ponto_id string, uf string, tipo_ponto string, latitude_requested double, longitude_requested double"
-)
-RAW = {
-    "ons.carga_energia": (
-        "id_subsistema string, nom_subsistema string, din_instante timestamp, "
-        "val_cargaenergiamwmed double, ingestion_timestamp timestamp"
-    ),
-    "ons.geracao_usina": (
-        "din_instante timestamp, id_subsistema string, nom_subsistema string, id_estado string, "
-        "nom_estado string, cod_modalidadeoperacao string, nom_tipousina string, nom_tipocombustivel string, "
-        "nom_usina string, id_ons string, ceg string, val_geracao double, ingestion_timestamp timestamp"
-    ),
-    "ons.fator_capacidade": (
-        "id_subsistema string, nom_subsistema string, id_estado string, nom_estado string, "
-        "cod_pontoconexao string, nom_pontoconexao string, nom_localizacao string, "
-        "val_latitudesecoletora double, val_longitudesecoletora double, val_latitudepontoconexao double, "
-        "val_longitudepontoconexao double, nom_modalidadeoperacao string, nom_tipousina string, "
-        "nom_usina_conjunto string, id_ons string, ceg string, din_instante timestamp, "
-        "val_geracaoprogramada string, val_geracaoverificada string, val_capacidadeinstalada string, "
-        "val_fatorcapacidade double, ingestion_timestamp timestamp"
-    ),
-    "ons.previsao_programado_eolsol": (
-        "dat_programacao string, num_patamar int, cod_usinapdp string, nom_usinapdp string, "
-        "val_previsao string, val_programado string, ingestion_timestamp timestamp"
-    ),
-    "open_meteo.previsao_bruta": (
-        f"{POINT}, data_referencia string, data_prevista string, horizonte_dias long, "
-        "raw_response string, ingestion_timestamp timestamp"
-    ),
-    "open_meteo.previsao_historica_bruta": (
-        f"{POINT}, start_date string, end_date string, horizonte_dias long, "
-        "raw_response string, ingestion_timestamp timestamp"
-    ),
-    "open_meteo.historico_observado": (
-        f"{POINT}, start_date string, end_date string, raw_response string, ingestion_timestamp timestamp"
-    ),
-}
-
 
 @pytest.fixture(scope="session")
 def spark(tmp_path_factory):
