@@ -90,9 +90,11 @@ def last_per_instant(df: DataFrame, groups: Sequence[str], order: str, ties: Seq
     so it adds no shuffle.
     """
     walk = Window.partitionBy(*groups).orderBy(order, *ties)
+    # The struct tells a missing next row from a next row whose order value is null.
+    following = F.lead(F.struct(F.col(order).alias("at"))).over(walk)
     return (
-        df.withColumn("_following", F.lead(order).over(walk))
-        .filter(F.col("_following").isNull() | (F.col("_following") != F.col(order)))
+        df.withColumn("_following", following)
+        .filter(F.col("_following").isNull() | ~_same(F.col("_following.at"), F.col(order)))
         .drop("_following")
     )
 

@@ -415,6 +415,12 @@ SELECT o_custkey, greatest(mo, lo) AS block_start, least(last_day(mo), hi) AS bl
     "append_with_metadata": """SELECT event_id, round(value, 6) AS value, CASE WHEN event_type = 'view' THEN user_id END AS user_id,
   TIMESTAMP '2024-01-31' AS ingestion_timestamp, CASE WHEN event_type = 'view' THEN 'two' ELSE 'one' END AS source,
   CAST(count(*) OVER (PARTITION BY event_type = 'view') AS INTEGER) AS rows_written FROM events""",
+    "yearly_files": ORDERS + "CAST(o_orderdate AS DATE) BETWEEN DATE '1997-06-10' AND DATE '1998-07-15'",
+    "snapshot_refresh": "SELECT o_orderpriority, count(*) AS n FROM orders GROUP BY 1",
+    "csv_round_trip": "SELECT n_name, count(*) AS n FROM nation JOIN customer ON n_nationkey = c_nationkey GROUP BY 1",
+    "audited_runs": """SELECT 'customers' AS pipeline_name, '1998-07-15' AS data_referencia, 'success' AS status,
+  count(*) AS linhas_gravadas, false AS has_error FROM customer
+UNION ALL SELECT 'broken', '1998-07-15', 'failed', CAST(0 AS BIGINT), true""",
     "top10": """SELECT s_name, CAST(sum(CAST(l_quantity AS DECIMAL(18,2))) AS DOUBLE) AS quantity FROM lineitem
   JOIN supplier ON l_suppkey = s_suppkey GROUP BY l_suppkey, s_name ORDER BY quantity DESC, s_name LIMIT 10""",
     "latest50": "SELECT event_id, ts, user_id, event_type, round(value, 6) AS value, props FROM events ORDER BY ts DESC, event_id LIMIT 50",

@@ -22,7 +22,7 @@ from terrace.plans.runner import compute_metrics
 from terrace.plans.spec import SEQUENCE, VERSION_COLUMNS, VIOLATED
 from terrace.plans.workload import sources as s
 from terrace.session import scratch_path
-from terrace.sources import align, backfill, scans, sinks
+from terrace.sources import align, audit, backfill, scans, sinks
 from terrace.streaming.apply import IncrementalTable
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -663,6 +663,49 @@ def append_with_metadata(spark, sf_dir):
     return sinks.read_raw(spark, path).withColumn("rows_written", F.when(F.col("source") == "one", written[0]).otherwise(written[1]))
 
 
+@query
+def yearly_files(spark, sf_dir):
+    """Orders published as one file per year, read back as one scan; the current year is not out yet."""
+    landing, years = scratch_path(spark, "years"), range(1995, 2003)
+    orders(spark, sf_dir).withColumn("year", F.year("o_orderdate")).write.partitionBy("year").parquet(landing)
+    files = {year: f"{landing}/year={year}" for year in years}
+    return scans.read_years(spark, files, current_year=2002).filter(dates.in_day_window("o_orderdate", REFERENCE_DAY, 400))
+
+
+@query
+def snapshot_refresh(spark, sf_dir):
+    """A table published twice; readers see the second version whole."""
+    published = sinks.Snapshot(scratch_path(spark, "snapshot"))
+    totals = s.table(spark, sf_dir, "orders").groupBy("o_orderpriority").agg(F.count("*").alias("n"))
+    published.refresh(totals.filter("o_orderpriority <> '5-LOW'"))
+    return published.refresh(totals)
+
+
+@query
+def csv_round_trip(spark, sf_dir):
+    target = scratch_path(spark, "csv")
+    sinks.export_csv(s.table(spark, sf_dir, "nation").join(s.table(spark, sf_dir, "customer"), F.col("n_nationkey") == F.col("c_nationkey"))
+                     .groupBy("n_name").agg(F.count("*").alias("n")), target)
+    return spark.read.option("header", True).schema("n_name string, n bigint").csv(target)
+
+
+@query
+def audited_runs(spark, sf_dir):
+    """An audited append, and one that fails on a lossy type change, as the audit log shows them."""
+    log, path = scratch_path(spark, "audit"), scratch_path(spark, "audited")
+    customers = s.table(spark, sf_dir, "customer").select("c_custkey", "c_mktsegment")
+    with audit.audited_run(spark, log, "customers", REFERENCE_DAY) as run:
+        run.rows = sinks.append_raw(customers, path, "workload", run.started_at)
+    try:
+        with audit.audited_run(spark, log, "broken", REFERENCE_DAY) as run:
+            sinks.append_raw(customers.withColumn("c_custkey", F.col("c_mktsegment")), path, "workload", run.started_at)
+    except align.LossyConversion:
+        pass
+    return spark.read.parquet(log).select(
+        "pipeline_name", "data_referencia", "status", "linhas_gravadas", F.col("erro").isNotNull().alias("has_error")
+    )
+
+
 @query
 def top10(spark, sf_dir):
     lines = s.table(spark, sf_dir, "lineitem").groupBy("l_suppkey").agg(

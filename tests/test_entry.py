@@ -35,3 +35,9 @@ def test_filters_and_columns_reach_the_scan(spark):
     plan = entry.queries()["trailing_window"](spark, TABLES)._jdf.queryExecution().executedPlan().toString()
     assert "PushedFilters: [IsNotNull(o_orderdate), GreaterThanOrEqual(o_orderdate" in plan
     assert "o_orderstatus" not in plan
+
+
+@pytest.mark.skipif(not os.path.isdir(TABLES), reason="no test tables")
+def test_rules_reach_the_scan(spark):
+    plan = entry.queries()["rules_pass"](spark, TABLES)._jdf.queryExecution().executedPlan().toString()
+    assert "GreaterThanOrEqual(value,5.0), LessThanOrEqual(value,150.0)" in plan

@@ -88,6 +88,13 @@ def test_long_key_without_changes_is_one_version(spark, monkeypatch):
     assert versions(frame(spark, SCHEMA, *rows), long_key_rows=10) == [("a", 0, None, 99, 1.0, None)]
 
 
+@pytest.mark.parametrize("limit", [timeline.LONG_KEY_ROWS, 2])
+def test_rows_without_an_order_value_are_kept(spark, limit):
+    df = frame(spark, SCHEMA, ("a", None, 1, "x"), ("a", None, 2, "y"), ("a", 5, 3, "z"), ("a", 6, 3, "w"))
+    placed = timeline.timeline(df, ["k"], "at", ["v"], long_key_rows=limit).orderBy(timeline.POSITION).collect()
+    assert [(r["at"], r["v"], r[timeline.RUN]) for r in placed] == [(None, 2.0, 1), (5, 3.0, 2), (6, 3.0, 2)]
+
+
 def test_long_key_of_one_instant(spark):
     rows = [("a", 1, float(i), None) for i in range(50)]
     assert versions(frame(spark, SCHEMA, *rows), long_key_rows=10) == [("a", 1, None, 1, 49.0, None)]
