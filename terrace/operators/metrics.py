@@ -36,7 +36,8 @@ def grouped_sums(
 ) -> DataFrame:
     """Grouped sums with exact distinct counts, further aggregates and guarded ratios of the sums.
 
-    ``scale`` turns summed slot power into energy (0.5 for half hours).
+    ``scale`` turns summed slot power into energy (0.5 for half hours). For a text
+    that labels each group see ``labelled_sums``.
     """
     aggregates = [F.count_distinct(as_column(c)).alias(name) for name, c in (distinct or {}).items()]
     for name, value in sums.items():
@@ -48,6 +49,28 @@ def grouped_sums(
     return totals.withColumns(quotients) if quotients else totals
 
 
+def labelled_sums(
+    df: DataFrame,
+    groups: Mapping[str, ColumnLike],
+    label: tuple[str, ColumnLike],
+    sums: Mapping[str, ColumnLike],
+    *,
+    scale: float = 1.0,
+    ratios: Mapping[str, tuple[str, str]] | None = None,
+) -> DataFrame:
+    """Grouped sums with the greatest of each group's labels.
+
+    The maximum of a text cannot be kept in a hash aggregate, so taking it over the
+    rows would sort them all. The rows are summed per group and label first, by
+    hash; only these few sums are sorted for the label.
+    """
+    name, value = label
+    per_label = grouped_sums(df, {**groups, name: value}, sums, scale=scale)
+    return grouped_sums(
+        per_label, {g: g for g in groups}, {s: s for s in sums}, others={name: F.max(name)}, ratios=ratios
+    )
+
+
 def response_curve(
     df: DataFrame,
     groups: Sequence[str],

@@ -61,15 +61,15 @@ def daily_shortfall(schedule: DataFrame) -> DataFrame:
 
 
 def plant_shortfall(schedule: DataFrame) -> DataFrame:
-    return m.grouped_sums(
+    return m.labelled_sums(
         schedule,
         {"mes": dates.month_start("data"), "codigo_usina": "codigo_usina"},
+        ("nome_usina", "nome_usina"),
         {
             "previsto_mwh": "previsao_mwmed",
             "restricao_mwh": numeric.shortfall("previsao_mwmed", "programado_mwmed"),
         },
         scale=v.SLOT_HOURS,
-        others={"nome_usina": F.max("nome_usina")},
         ratios={"restricao_pct": ("restricao_mwh", "previsto_mwh")},
     ).select(*names_of(v.PLANT_SHORTFALL_COLUMNS))
 
