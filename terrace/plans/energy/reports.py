@@ -13,6 +13,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from terrace.functions import dates, text
+from terrace.functions.columns import as_column
 from terrace.operators.metrics import ratio_of_sums
 from terrace.plans.energy import values as v
 
@@ -29,8 +30,13 @@ OTHER_VARIABLE_LABEL = "temperatura"
 WEEKEND_LABEL, WEEKDAY_LABEL = "Fim de semana", "Dia útil"
 
 
-def _percent(numerator: str, denominator: str) -> Column:
-    return F.round(ratio_of_sums(numerator, denominator) * 100, 1)
+def _percent(numerator: str | Column, denominator: str | Column) -> Column:
+    """Weighted percentage to one place.
+
+    The sum is scaled before the division: scaling a quotient would push exact
+    halves such as 52.45 just below themselves and round them down.
+    """
+    return F.round(ratio_of_sums(F.lit(100) * as_column(numerator), denominator), 1)
 
 
 def percent_by(df: DataFrame, groups: Sequence[str], numerator: str, denominator: str, output: str) -> DataFrame:
@@ -57,13 +63,7 @@ def headlines(
 
     def season(months: tuple[int, int]) -> Column:
         chosen = (F.col("tipo_usina") == v.WIND) & dates.in_season("mes", *months)
-        return F.round(
-            ratio_of_sums(
-                F.when(chosen, F.col("geracao_verificada_mwh")), F.when(chosen, F.col("capacidade_mwh"))
-            )
-            * 100,
-            1,
-        )
+        return _percent(F.when(chosen, F.col("geracao_verificada_mwh")), F.when(chosen, F.col("capacidade_mwh")))
 
     wind = F.when(F.col("variavel") == v.CURVE_VARIABLE[v.WIND], F.col("correlacao"))
     return _one_row(
