@@ -51,7 +51,11 @@ def tidy(df: DataFrame, places: int | None) -> DataFrame:
 
 
 def query(function: Query, places: int | None = 6) -> Query:
-    QUERIES[function.__name__] = lambda spark, sf_dir: tidy(function(spark, sf_dir), places)
+    def run(spark: SparkSession, sf_dir: str) -> DataFrame:
+        spark.conf.set("spark.sql.session.timeZone", "UTC")  # wall-clock casts rely on it
+        return tidy(function(spark, sf_dir), places)
+
+    QUERIES[function.__name__] = run
     return function
 
 
