@@ -176,6 +176,13 @@ def _counts(table: str, source: str, drop: dict[str, str], warn: dict[str, str])
     return " UNION ALL ".join(parts)
 
 
+def _percent(top: str, bottom: str, only: str = "true") -> str:
+    return f"round(sum({top}) FILTER ({only}) / sum({bottom}) FILTER ({only}) * 100, 1)"
+
+
+GENERATED = ("geracao_verificada_mwh", "capacidade_mwh")
+
+
 LOAD_COLUMNS = "id_subsistema, subsistema, data, carga_mwmed"
 LOAD_HISTORY = lambda output: _with(LOAD) .rstrip() + ",\n" + _history(
     "load_ok", "id_subsistema, data", "ingerido_em", "carga_mwmed", "carga_mwmed DESC", output
@@ -285,18 +292,16 @@ ORACLE: dict[str, str] = {
     "weather_accuracy": _with(FORECAST, OBSERVED, ACCURACY) + "SELECT * FROM acc",
     "load_and_temperature": _with(LOAD, OBSERVED, HEAT) + """SELECT data, carga_mwmed, temperatura_media_c,
   temperatura_maxima_c, CAST(isodow(data) AS INTEGER) AS dia_semana, isodow(data) >= 6 AS fim_de_semana FROM heat""",
-    "report_headlines": _with(CAPACITY, MONTHLY, SCHEDULE, DAILY, OBSERVED, JOINED, CORRELATION, FORECAST, ACCURACY) + """SELECT
-  (SELECT round(sum(geracao_verificada_mwh) / sum(capacidade_mwh) * 100, 1) FROM monthly
-    WHERE tipo_usina = 'Eólica' AND month(mes) BETWEEN 7 AND 10) AS fator_eolico_safra_pct,
-  (SELECT round(sum(geracao_verificada_mwh) / sum(capacidade_mwh) * 100, 1) FROM monthly
-    WHERE tipo_usina = 'Eólica' AND month(mes) BETWEEN 1 AND 4) AS fator_eolico_entressafra_pct,
-  (SELECT round(sum(restricao_mwh) / 1e6, 1) FROM daily) AS restricao_twh,
-  (SELECT round(avg(correlacao), 2) FROM corrs WHERE variavel = 'vento_100m_ms') AS correlacao_vento,
-  (SELECT round(avg(erro_medio_absoluto_vento_100m_kmh), 1) FROM acc) AS erro_previsao_vento_kmh""",
-    "report_capacity_by_month": _with(CAPACITY, MONTHLY) + """SELECT mes, tipo_usina,
-  round(sum(geracao_verificada_mwh) / sum(capacidade_mwh) * 100, 1) AS fator_pct FROM monthly GROUP BY ALL""",
-    "report_capacity_by_state": _with(CAPACITY, MONTHLY) + """SELECT uf, tipo_usina,
-  round(sum(geracao_verificada_mwh) / sum(capacidade_mwh) * 100, 1) AS fator_pct FROM monthly GROUP BY ALL""",
+    "report_headlines": _with(CAPACITY, MONTHLY, SCHEDULE, DAILY, OBSERVED, JOINED, CORRELATION, FORECAST, ACCURACY) + f"""FROM (
+  SELECT {_percent(*GENERATED, "tipo_usina = 'Eólica' AND month(mes) IN (7, 8, 9, 10)")} AS fator_eolico_safra_pct,
+    {_percent(*GENERATED, "tipo_usina = 'Eólica' AND month(mes) IN (1, 2, 3, 4)")} AS fator_eolico_entressafra_pct FROM monthly),
+  (SELECT round(sum(restricao_mwh) / 1000000, 1) AS restricao_twh FROM daily),
+  (SELECT round(avg(correlacao) FILTER (variavel = 'vento_100m_ms'), 2) AS correlacao_vento FROM corrs),
+  (SELECT round(avg(erro_medio_absoluto_vento_100m_kmh), 1) AS erro_previsao_vento_kmh FROM acc)""",
+    "report_capacity_by_month": _with(CAPACITY, MONTHLY)
+    + f"SELECT mes, tipo_usina, {_percent(*GENERATED)} AS fator_pct FROM monthly GROUP BY ALL",
+    "report_capacity_by_state": _with(CAPACITY, MONTHLY)
+    + f"SELECT uf, tipo_usina, {_percent(*GENERATED)} AS fator_pct FROM monthly GROUP BY ALL",
     "report_wind_curve": _with(CAPACITY, OBSERVED, JOINED, CURVE) + """SELECT faixa_inicio AS vento_ms,
   round(fator_capacidade * 100, 1) AS fator_pct, horas FROM curve WHERE tipo_usina = 'Eólica' AND horas >= 100""",
     "report_solar_curve": _with(CAPACITY, OBSERVED, JOINED, CURVE) + """SELECT faixa_inicio AS radiacao_wm2,
@@ -304,13 +309,13 @@ ORACLE: dict[str, str] = {
     "report_main_correlations": _with(CAPACITY, OBSERVED, JOINED, CORRELATION) + """SELECT uf, tipo_usina || ': ' ||
   CASE variavel WHEN 'vento_100m_ms' THEN 'vento a 100 m' ELSE 'radiação' END AS relacao, round(correlacao, 2) AS correlacao
   FROM corrs WHERE variavel IN ('vento_100m_ms', 'radiacao_solar_wm2')""",
-    "report_shortfall_by_month": _with(SCHEDULE, DAILY) + """SELECT CAST(date_trunc('month', data) AS DATE) AS mes,
-  round(sum(restricao_mwh) / 1000, 0) AS restricao_gwh, round(sum(restricao_mwh) / sum(previsto_mwh) * 100, 1) AS restricao_pct
-  FROM daily WHERE data < DATE '2001-03-01' GROUP BY 1""",
+    "report_shortfall_by_month": _with(SCHEDULE, DAILY) + f"""SELECT CAST(date_trunc('month', data) AS DATE) AS mes,
+  round(sum(restricao_mwh) / 1000, 0) AS restricao_gwh, {_percent("restricao_mwh", "previsto_mwh")} AS restricao_pct
+  FROM daily WHERE data <= DATE '2001-02-28' GROUP BY ALL""",
     "report_most_limited_plants": _with(SCHEDULE, PLANTS) + """SELECT nome_usina, round(sum(restricao_mwh) / 1000, 1) AS restricao_gwh
   FROM plants GROUP BY 1 ORDER BY restricao_gwh DESC, nome_usina LIMIT 10""",
-    "report_schedule_error": _with(CAPACITY, ERRORS) + """SELECT mes, tipo_usina,
-  round(sum(erro_absoluto_mwh) / sum(geracao_verificada_mwh) * 100, 1) AS erro_pct FROM errors GROUP BY ALL""",
+    "report_schedule_error": _with(CAPACITY, ERRORS)
+    + f"SELECT mes, tipo_usina, {_percent('erro_absoluto_mwh', 'geracao_verificada_mwh')} AS erro_pct FROM errors GROUP BY ALL",
     "report_forecast_error": _with(FORECAST, OBSERVED, ACCURACY) + """SELECT ponto_id,
   round(avg(erro_medio_absoluto_vento_100m_kmh), 1) AS erro_vento_kmh, round(avg(vento_100m_observado_kmh), 1) AS vento_medio_kmh
   FROM acc GROUP BY 1""",

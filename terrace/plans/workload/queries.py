@@ -470,7 +470,7 @@ def weekend_effect(spark, sf_dir):
 
 @query
 def flatten_parallel_arrays(spark, sf_dir):
-    """Hourly values packed into one JSON response per kind and day, then taken apart again."""
+    """Hourly values, 24 at most per kind and day, packed into one JSON response, then taken apart again."""
     hours = (
         events(spark, sf_dir)
         .groupBy("event_type", F.to_date("ts").alias("day"), F.date_format("ts", "yyyy-MM-dd'T'HH:00").alias("time"))

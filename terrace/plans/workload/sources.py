@@ -169,7 +169,7 @@ SERIES = ("wind_speed_100m", "shortwave_radiation", "cloud_cover", "temperature_
 
 
 def _responses(hours: DataFrame, groups: list[str], suffix: str = "") -> DataFrame:
-    """Pack the hours of a point and day into one JSON response of parallel arrays."""
+    """Pack the hours of a point and day (24 at most) into one JSON response of parallel arrays."""
     packed = hours.groupBy("ponto_id", "uf", "tipo_ponto", "day", *groups).agg(
         F.array_sort(F.collect_list(F.struct("time", *SERIES))).alias("h"), F.max("_newest").alias("_newest")
     )

@@ -56,6 +56,10 @@ class Manifest:
     history: dict[str, int] = field(default_factory=dict)
 
 
+class CheckpointLost(Exception):
+    """The state is ahead of a checkpoint that no longer exists."""
+
+
 class IncrementalTable:
     """State of one clean table below ``root`` (a folder that all executors reach)."""
 
@@ -198,9 +202,13 @@ class IncrementalTable:
 
     def run_available(self, spark: SparkSession, *streams: DataFrame) -> None:
         """Process everything that arrived since the last run, then stop."""
-        self._run(self._generation(spark), streams)
+        self._run(spark, self._generation(spark), streams)
 
-    def _run(self, base: str, streams: Sequence[DataFrame]) -> None:
+    def _run(self, spark: SparkSession, base: str, streams: Sequence[DataFrame]) -> None:
+        applied = self._manifest(spark, base).last_batch
+        if applied >= 0 and not list_names(spark, f"{base}/_checkpoint/offsets"):
+            # A new checkpoint would number its batches from 0 and each would look like a repeat.
+            raise CheckpointLost(f"{base} holds batch {applied} but its checkpoint is gone; use full_refresh")
         standardized = self.table.standardize(*streams).select(*names_of(self.table.stored))
         query = (
             standardized.writeStream.queryName(f"{self.table.name}-upkeep")
@@ -215,5 +223,5 @@ class IncrementalTable:
         """Rebuild from the raw tables next to the live state and switch over when done."""
         number = int(self._generation(spark).rsplit("=", 1)[1]) + 1
         base = f"{self.root}/generation={number:06d}"
-        self._run(base, streams)
+        self._run(spark, base, streams)
         publish_small(spark, f"{self.root}/_generations/{number:06d}", base)

@@ -7,7 +7,7 @@ import pytest
 from terrace.plans.energy import clean
 from terrace.plans.runner import clean_batch
 from terrace.sources.scans import read_stream
-from terrace.streaming.apply import IncrementalTable
+from terrace.streaming.apply import CheckpointLost, IncrementalTable
 from tests.conftest import raw_rows, weather_json
 
 RAW = "ons.carga_energia"
@@ -105,3 +105,15 @@ def test_two_streams_feed_one_table_without_history(spark, tmp_path):
     assert state.current(spark).count() == 5
     assert state.quarantine(spark).count() == 1
     assert state.history(spark).count() == 0
+
+
+def test_a_lost_checkpoint_is_an_error_not_a_silent_skip(spark, tmp_path):
+    landing = str(tmp_path / "raw")
+    raw_rows(spark, RAW, load_rows(5, 20)).write.parquet(landing)
+    schema = spark.read.parquet(landing).schema
+    state = IncrementalTable(clean.LOAD, str(tmp_path / "state"))
+    state.apply(clean.clean_load(raw_rows(spark, RAW, load_rows(6, 5))), 0)
+    with pytest.raises(CheckpointLost):
+        state.run_available(spark, read_stream(spark, landing, schema))
+    state.full_refresh(spark, read_stream(spark, landing, schema))
+    check_against_batch(spark, state, raw_rows(spark, RAW, load_rows(5, 20)))
