@@ -9,6 +9,7 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from terrace.sources.sinks import INGESTED_AT
 
@@ -19,8 +20,15 @@ PRIORITY_CODES = {"1-URGENT": "N", "2-HIGH": "NE", "3-MEDIUM": "S", "4-NOT SPECI
 NOT_A_NUMBER = "n/d"
 
 
+_SCHEMAS: dict[str, T.StructType] = {}
+
+
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    return spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
+    """A test table. Its footer is read for the schema once, not for every use."""
+    path = f"{sf_dir.rstrip('/')}/{name}.parquet"
+    if path not in _SCHEMAS:
+        _SCHEMAS[path] = spark.read.parquet(path).schema
+    return spark.read.schema(_SCHEMAS[path]).parquet(path)
 
 
 def coded(value: str, codes: dict[str, str]) -> Column:

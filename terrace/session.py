@@ -12,6 +12,8 @@ SETTINGS = {
     "spark.sql.adaptive.enabled": "true",
     "spark.sql.adaptive.skewJoin.enabled": "true",
     "spark.sql.adaptive.coalescePartitions.enabled": "true",
+    # Capturing the Python call site of every column expression makes wide plans slow to build.
+    "spark.python.sql.dataFrameDebugging.enabled": "false",
 }
 
 
