@@ -9,8 +9,8 @@
 3. Verified pairs are joined to components. Nodes of buckets that still hold more than one
    component go through an exact prefix join: in the order of rising frequency, two sets
    above the threshold share a shingle within a short prefix. Shingles that no other such
-   node holds bound what a pair can share, which rules out most pairs before they are
-   formed. For each prefix shingle, only nodes outside its largest component look for
+   node holds, and the place of the first shared one, bound what a pair can share, which
+   rules out most pairs before they are formed. For each prefix shingle, only nodes outside its largest component look for
    partners, so a big component is not paired with itself. What verification confirms joins
    components.
 
@@ -135,10 +135,10 @@ def prefix_pairs(open_nodes: DataFrame, sets: DataFrame, percent: int) -> DataFr
     length = F.col("n") - F.ceil(percent * F.col("n") / 100) + 1
     unique = F.col("n") - F.size("common")
     probes = stored(
-        common.select("node", "component", "n", F.size("common").alias("most"), (length - unique).cast("int").alias("left"), "common")
+        common.select("node", "component", "n", unique.alias("unique"), (length - unique).cast("int").alias("left"), "common")
         .where("left > 0")
-        .select("node", "component", "n", "most", F.explode(F.slice("common", F.lit(1), F.col("left"))).alias("x"))
-        .select("node", "component", "n", "most", F.col("x.shingle").alias("shingle")),
+        .select("node", "component", "n", "unique", F.posexplode(F.slice("common", F.lit(1), F.col("left"))).alias("at", "x"))
+        .select("node", "component", "n", (F.col("n") - F.col("unique") - F.col("at")).alias("most"), F.col("x.shingle").alias("shingle")),
         "prefixes",
     )
     parts = probes.groupBy("shingle", "component").agg(F.count("*").alias("nodes"))
@@ -148,6 +148,7 @@ def prefix_pairs(open_nodes: DataFrame, sets: DataFrame, percent: int) -> DataFr
         "shingle", F.col("node").alias("b"), F.col("component").alias("c_b"), F.col("n").alias("n_b"), F.col("most").alias("most_b")
     )
     looking = probes.join(mixed, "shingle").where("component <> largest")
+    # At the first shingle that two sets share, they share at most what either still has from there on.
     shared = F.least("most", "most_b")
     met = looking.join(index, (looking["shingle"] == index["shingle"]) & (F.col("component") != F.col("c_b")) & similar(shared, F.col("n"), F.col("n_b"), percent))
     return met.select(F.least("node", "b").alias("a"), F.greatest("node", "b").alias("b")).distinct()
