@@ -17,8 +17,11 @@ def series_schema(
     time: str = "time",
     scalars: Iterable[str] = ("latitude", "longitude"),
 ) -> str:
-    """Schema text of a response that holds parallel arrays, one per variable."""
-    arrays = [f"`{time}`: ARRAY<STRING>"] + [f"`{name}{suffix}`: ARRAY<DOUBLE>" for name in variables]
+    """Schema text of a response that holds parallel arrays, one per variable.
+
+    Elements are read as text, so one that is no number does not void its whole array.
+    """
+    arrays = [f"`{time}`: ARRAY<STRING>"] + [f"`{name}{suffix}`: ARRAY<STRING>" for name in variables]
     fields = [f"`{name}` DOUBLE" for name in scalars] + [f"`{series}` STRUCT<{', '.join(arrays)}>"]
     return ", ".join(fields)
 

@@ -40,10 +40,11 @@ def recode(value: ColumnLike, names: Mapping[str, str], default: str | None = No
 def recode_join(df, code: str, names, names_code: str, names_label: str, output: str):
     """Dictionary lookup for large dictionaries: left join with one row per code.
 
+    A code that the dictionary repeats has its least label; rows of ``df`` never multiply.
     No broadcast hint: adaptive execution broadcasts the dictionary only when its
     measured size is under ``spark.sql.autoBroadcastJoinThreshold``.
     """
-    lookup = names.select(F.col(names_code).alias(code), F.col(names_label).alias(output))
+    lookup = names.groupBy(F.col(names_code).alias(code)).agg(F.min(names_label).alias(output))
     return df.join(lookup, code, "left")
 
 
@@ -59,7 +60,7 @@ def title_prefix(value: ColumnLike, prefix: str, shown: str) -> Column:
     """
     trimmed = F.trim(as_column(value))
     upper = F.upper(trimmed)
-    rest = F.substring(upper, len(prefix) + 1, 50)
+    rest = F.substr(upper, F.lit(len(prefix) + 1))
     return F.when(F.startswith(upper, F.lit(prefix)), F.concat(F.lit(shown), rest)).otherwise(trimmed)
 
 

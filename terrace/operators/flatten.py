@@ -42,7 +42,7 @@ def explode_series(
     carried = parsed.columns[:-1]
     hours = parsed.select("*", F.posexplode_outer(f"_parsed.{series}.{time}").alias("_at", "_hour"))
     values = [
-        convert(F.get(F.col(f"_parsed.{series}.{name}{suffix}"), F.col("_at"))).alias(outputs[name])
+        convert(F.get(F.col(f"_parsed.{series}.{name}{suffix}"), F.col("_at")).try_cast("double")).alias(outputs[name])
         for name, convert in variables.items()
     ]
     return hours.select(

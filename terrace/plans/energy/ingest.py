@@ -12,13 +12,16 @@ from __future__ import annotations
 
 import datetime as dt
 from collections.abc import Iterable, Sequence
+from functools import reduce
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from terrace.functions import dates
 from terrace.plans.energy import values as v
 from terrace.sources import audit, backfill, scans, sinks
+from terrace.sources.align import align_to_schema
 
 AUDIT_TABLE = "controle._audit_log"
 
@@ -34,7 +37,8 @@ def audit_path(raw_root: str) -> str:
 def _append(spark: SparkSession, feed: str, raw_root: str, reference: dt.date, read) -> int:
     pipeline, source, table, _ = v.FEEDS[feed]
     with audit.audited_run(spark, audit_path(raw_root), pipeline, reference) as run:
-        run.rows = sinks.append_raw(read(), raw_path(raw_root, table), source, run.started_at)
+        rows = align_to_schema(read(), _layout(feed))
+        run.rows = sinks.append_raw(rows, raw_path(raw_root, table), source, run.started_at)
     return run.rows
 
 
@@ -43,15 +47,25 @@ def _published(landing: str, feed: str, periods: Iterable[dt.date]) -> list[str]
     return [f"{landing.rstrip('/')}/{pattern.format(period)}" for period in sorted(set(periods))]
 
 
-def _read_files(spark: SparkSession, paths: Sequence[str]) -> DataFrame:
-    return spark.read.option("mergeSchema", "true").parquet(*paths)
+def _layout(feed: str) -> T.StructType:
+    """Types that a feed's raw table is declared with, whatever the first file happens to hold."""
+    return T.StructType.fromDDL(v.RAW_LAYOUTS[v.FEEDS[feed][2]])
+
+
+def _read_files(spark: SparkSession, feed: str, paths: Sequence[str]) -> DataFrame:
+    """The files as one frame: files of one schema are one scan, each aligned to the declared layout."""
+    same: dict[str, list[str]] = {}
+    for path in paths:
+        same.setdefault(spark.read.parquet(path).schema.json(), []).append(path)  # footers only
+    aligned = [align_to_schema(spark.read.parquet(*group), _layout(feed)) for group in same.values()]
+    return reduce(lambda a, b: a.unionByName(b, allowMissingColumns=True), aligned)
 
 
 def load_months(spark: SparkSession, feed: str, landing: str, raw_root: str, references: Sequence[dt.date]) -> int:
     """Plant generation or capacity: the last closed month before each reference day."""
     months = backfill.closed_months_before(references)
     return _append(
-        spark, feed, raw_root, max(references), lambda: _read_files(spark, _published(landing, feed, months))
+        spark, feed, raw_root, max(references), lambda: _read_files(spark, feed, _published(landing, feed, months))
     )
 
 
@@ -62,7 +76,7 @@ def load_schedule(
     wanted = list(days) or [(today or dt.date.today()) - dt.timedelta(days=v.SCHEDULE_LAG_DAYS)]
     return _append(
         spark, "programacao", raw_root, max(wanted),
-        lambda: _read_files(spark, _published(landing, "programacao", wanted)),
+        lambda: _read_files(spark, "programacao", _published(landing, "programacao", wanted)),
     )
 
 

@@ -75,7 +75,7 @@ def _hours(pick: str, extra: str = "") -> str:
 
 OBSERVED = f"""obs AS ({_hours('max')})"""
 HORIZON = "CASE WHEN l_linestatus = 'O' THEN 1 ELSE 0 END AS horizonte_dias"
-FORECAST = f"""fc AS (SELECT * FROM ({_hours('min', HORIZON)}) WHERE tipo_ponto <> 'solar' OR horizonte_dias = 1)"""
+FORECAST = f"""fc AS (SELECT * FROM ({_hours('min', HORIZON)}))"""
 
 BLANK_WEATHER = """NULL::DOUBLE AS sensacao_termica_c, NULL::DOUBLE AS umidade_relativa_pct, NULL::DOUBLE AS ponto_orvalho_c,
   NULL::DOUBLE AS chuva_mm, NULL::DOUBLE AS pancadas_mm, NULL::INTEGER AS codigo_tempo, NULL::DOUBLE AS pressao_nivel_mar_hpa,
@@ -265,7 +265,7 @@ ORACLE: dict[str, str] = {
     "observed_hours": _with(OBSERVED) + f"""SELECT ponto_id, uf, tipo_ponto, data_hora, {WEATHER}, {BLANK_WEATHER},
   make_timestamp(max(newest) OVER (PARTITION BY ponto_id, dia)) AS ingerido_em FROM obs""",
     "forecast_hours": _with(FORECAST) + f"""SELECT ponto_id, uf, tipo_ponto, CAST(dia - horizonte_dias AS DATE) AS data_emissao,
-  dia AS data_prevista, horizonte_dias, CASE tipo_ponto WHEN 'solar' THEN 'previsoes_anteriores' ELSE 'coleta_diaria' END AS origem,
+  dia AS data_prevista, horizonte_dias, CASE WHEN tipo_ponto = 'solar' AND horizonte_dias = 1 THEN 'previsoes_anteriores' ELSE 'coleta_diaria' END AS origem,
   data_hora, {WEATHER}, {BLANK_WEATHER},
   make_timestamp(max(newest) OVER (PARTITION BY ponto_id, dia, horizonte_dias)) AS ingerido_em FROM fc""",
     "capacity_factor_monthly": _with(CAPACITY, MONTHLY) + f"""SELECT mes, uf, tipo_usina, usinas,

@@ -195,13 +195,12 @@ def raw_observed(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def raw_forecasts(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, DataFrame]:
-    """(daily captures of wind and city points, back-filled forecasts of solar points)."""
+    """(daily captures, back-filled forecasts of solar points of the day before); together all lines."""
     horizon = F.when(F.col("l_linestatus") == "O", 1).otherwise(0).cast("bigint").alias("horizonte_dias")
     hours = _weather_hours(spark, sf_dir, F.min, [horizon])
-    daily = _responses(hours.filter(F.col("tipo_ponto") != "solar"), ["horizonte_dias"])
-    previous = _responses(
-        hours.filter((F.col("tipo_ponto") == "solar") & (F.col("horizonte_dias") == 1)), ["horizonte_dias"], "_previous_day1"
-    )
+    backfilled = (F.col("tipo_ponto") == "solar") & (F.col("horizonte_dias") == 1)
+    daily = _responses(hours.filter(~backfilled), ["horizonte_dias"])
+    previous = _responses(hours.filter(backfilled), ["horizonte_dias"], "_previous_day1")
     common = ["ponto_id", "uf", "tipo_ponto", "horizonte_dias", "raw_response", INGESTED_AT]
     issued = F.date_sub(F.col("day"), F.col("horizonte_dias").cast("int")).cast("string")
     return (

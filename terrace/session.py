@@ -44,7 +44,7 @@ def shared_folder(spark: SparkSession) -> str:
     folder = spark.conf.get("spark.checkpoint.dir", None)
     if folder is None:
         context = spark.sparkContext
-        if not context.master.startswith("local"):
+        if context.master != "local" and not context.master.startswith("local["):
             raise ValueError("set spark.checkpoint.dir to a folder shared by the cluster")
         folder = tempfile.mkdtemp(prefix="terrace-")
         spark.conf.set("spark.checkpoint.dir", folder)

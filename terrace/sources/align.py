@@ -1,4 +1,4 @@
-"""Lossless alignment of arriving columns to the types a table already has."""
+"""Rows brought to a declared layout without losing a value."""
 
 from __future__ import annotations
 
@@ -8,46 +8,38 @@ from pyspark.sql import types as T
 
 
 class LossyConversion(Exception):
-    """A value does not convert to the type of its column."""
+    """A value does not survive the conversion to the type of its column."""
 
     def __init__(self, losses: dict[str, int]):
-        super().__init__(f"values that do not convert to the table's types: {losses}")
+        super().__init__("; ".join(f"{name!r}: {count} values do not convert" for name, count in losses.items()))
         self.losses = losses
 
 
-def changed_types(df: DataFrame, schema: T.StructType) -> dict[str, T.DataType]:
-    """Columns present on both sides with different types -> the table's type."""
-    wanted = {field.name: field.dataType for field in schema}
-    return {
-        field.name: wanted[field.name]
-        for field in df.schema
-        if wanted.get(field.name, field.dataType) != field.dataType
-    }
-
-
-def lost(column: str, data_type: T.DataType) -> Column:
-    """True where a non-blank value would silently become null."""
-    value = F.col(column)
-    not_blank = F.length(F.trim(value.cast("string"))) > 0
-    return not_blank & value.try_cast(data_type).isNull()
+def survives(value: Column, given: T.DataType, wanted: T.DataType) -> Column:
+    """Null and blank text survive as null; text if it parses; anything else if casting back gives it again."""
+    converted = value.try_cast(wanted)
+    if isinstance(given, T.StringType):
+        return F.coalesce(F.trim(value) == "", F.lit(True)) | converted.isNotNull()
+    return converted.try_cast(given).eqNullSafe(value)
 
 
 def conversion_losses(df: DataFrame, conversions: dict[str, T.DataType]) -> DataFrame:
     """One row with the number of lost values per converted column."""
-    return df.agg(*[F.count_if(lost(name, kind)).alias(name) for name, kind in conversions.items()])
+    given = {field.name: field.dataType for field in df.schema}
+    return df.agg(*[F.count_if(~survives(F.col(name), given[name], kind)).alias(name) for name, kind in conversions.items()])
 
 
 def align_to_schema(df: DataFrame, schema: T.StructType) -> DataFrame:
-    """``df`` with the table's types; blanks become null, any other loss raises.
+    """``df`` with the layout's types for the columns that both have.
 
-    Columns that only the source has pass through. Without differing types the
-    same DataFrame comes back and no job runs; otherwise one aggregate checks all
-    columns before anything is written.
+    Only if a type differs does a job run: one pass counts the losses of all such
+    columns, and any loss raises before something is written.
     """
-    conversions = changed_types(df, schema)
-    if not conversions:
+    target = {field.name: field.dataType for field in schema}
+    differing = {f.name: target[f.name] for f in df.schema if f.name in target and f.dataType != target[f.name]}
+    if not differing:
         return df
-    losses = {k: v for k, v in conversion_losses(df, conversions).first().asDict().items() if v}
-    if losses:
-        raise LossyConversion(losses)
-    return df.withColumns({name: F.col(name).try_cast(kind) for name, kind in conversions.items()})
+    counted = conversion_losses(df, differing).first()
+    if any(counted):
+        raise LossyConversion({name: counted[name] for name in differing if counted[name]})
+    return df.select(*[F.col(c).try_cast(differing[c]).alias(c) if c in differing else F.col(c) for c in df.columns])

@@ -59,4 +59,5 @@ def closed_months_before(references: Sequence[dt.date]) -> list[dt.date]:
 
 
 def _next_month(day: dt.date) -> dt.date:
-    return (day.replace(day=28) + dt.timedelta(days=4)).replace(day=1)
+    years, month = divmod(12 * day.year + day.month, 12)
+    return dt.date(years, month + 1, 1)

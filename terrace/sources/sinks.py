@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import uuid
 import datetime as dt
 import json
 from collections.abc import Mapping, Sequence
@@ -101,8 +102,8 @@ class Snapshot:
         spark = df.sparkSession
         pointers = self._pointers(spark)
         version = int(pointers[-1]) + 1 if pointers else 0
-        folder = f"v={version:012d}"
-        df.write.mode("overwrite").partitionBy(*partition_by).parquet(f"{self.root}/{folder}")
+        folder = f"v={version:012d}-{uuid.uuid4().hex[:12]}"  # never used before: a refresh that fails leaves no trace in another's rows
+        df.write.partitionBy(*partition_by).parquet(f"{self.root}/{folder}")
         publish_small(spark, f"{self.root}/_published/{version:012d}", folder)
         return self.read(spark)
 

@@ -14,6 +14,7 @@ before it wrote, so a lost executor costs a retry and never a wrong count.
 from __future__ import annotations
 
 import json
+import uuid
 from collections.abc import Sequence
 from dataclasses import dataclass, field
 
@@ -72,7 +73,8 @@ class IncrementalTable:
 
     def _generation(self, spark: SparkSession) -> str:
         published = [n for n in list_names(spark, f"{self.root}/_generations") if not n.endswith(".tmp")]
-        return f"{self.root}/generation={int(published[-1]) if published else 0:06d}"
+        name = read_small(spark, f"{self.root}/_generations/{published[-1]}") if published else f"generation={0:06d}"
+        return f"{self.root}/{name}"
 
     def _manifest(self, spark: SparkSession, base: str) -> Manifest:
         names = [n for n in list_names(spark, f"{base}/_manifest") if not n.endswith(".tmp")]
@@ -221,7 +223,8 @@ class IncrementalTable:
 
     def full_refresh(self, spark: SparkSession, *streams: DataFrame) -> None:
         """Rebuild from the raw tables next to the live state and switch over when done."""
-        number = int(self._generation(spark).rsplit("=", 1)[1]) + 1
-        base = f"{self.root}/generation={number:06d}"
-        self._run(spark, base, streams)
-        publish_small(spark, f"{self.root}/_generations/{number:06d}", base)
+        number = int(self._generation(spark).rsplit("=", 1)[1].split("-")[0]) + 1
+        # A name of its own for each refresh: one that died is never continued, not even under the same rules.
+        name = f"generation={number:06d}-{uuid.uuid4().hex[:12]}"
+        self._run(spark, f"{self.root}/{name}", streams)
+        publish_small(spark, f"{self.root}/_generations/{number:06d}", name)

@@ -103,3 +103,20 @@ def test_a_document_that_lacks_points_fails_and_is_audited(spark, tmp_path):
 def test_observation_window(spark):
     blocks = ingest.observed_periods(spark, D(2026, 10, 8)).orderBy("block_start").collect()
     assert [tuple(b) for b in blocks] == [(D(2026, 9, 22), D(2026, 9, 28))]
+
+
+def test_backfill_over_a_change_of_type(spark, tmp_path):
+    """A publisher wrote numbers as text first and as numbers since; one run loads both, upkeep reads the result."""
+    landing, raw, clean = (str(tmp_path / n) for n in ("landing", "raw", "clean"))
+    row = {"nom_usina": "A", "ceg": "c1", "id_subsistema": "NE", "id_estado": "BA", "nom_tipousina": "Eólica"}
+    for month, value in ((4, "7.5"), (5, None), (6, 2.25)):
+        day = f"2026-{month:02d}-10 00:00:00"
+        frame = raw_rows(spark, "ons.geracao_usina", [{**row, "din_instante": day, "val_geracao": None}]).drop("ingestion_timestamp")
+        typed = frame.withColumn("val_geracao", F.lit(value).cast("double" if month == 6 else "string"))
+        typed.write.parquet(f"{landing}/GERACAO_USINA-2_2026_{month:02d}.parquet")
+    assert ingest.load_months(spark, "geracao", landing, raw, [D(2026, 5, 1)]) == 1  # text alone comes first
+    assert ingest.load_months(spark, "geracao", landing, raw, [D(2026, 6, 1), D(2026, 7, 1)]) == 2
+    stored = read_raw(spark, ingest.raw_path(raw, "ons.geracao_usina"))
+    assert dict(stored.dtypes)["val_geracao"] == "double"
+    assert sorted(str(r.val_geracao) for r in stored.select("val_geracao").collect()) == ["2.25", "7.5", "None"]
+    jobs.update_clean(spark, raw, clean)

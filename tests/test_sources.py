@@ -79,9 +79,13 @@ def test_audited_run_logs_success_and_failure(spark, tmp_path):
     with pytest.raises(ValueError):
         with audit.audited_run(spark, log, "06", D(2026, 10, 1)):
             raise ValueError("x" * 5000)
+    with pytest.raises(ValueError):
+        with audit.audited_run(spark, log, "07", D(2026, 10, 1), most_error_chars=1000):
+            raise ValueError("x" * 5000)
     rows = {r["pipeline_name"]: r for r in spark.read.parquet(log).collect()}
     assert (rows["05"]["status"], rows["05"]["linhas_gravadas"], rows["05"]["erro"]) == ("success", 7, None)
-    assert rows["06"]["status"] == "failed" and len(rows["06"]["erro"]) == 1000
+    assert rows["06"]["status"] == "failed" and rows["06"]["erro"] == repr(ValueError("x" * 5000))
+    assert len(rows["07"]["erro"]) == 1000
     assert rows["05"]["data_referencia"] == "2026-10-01"
 
 
@@ -154,3 +158,41 @@ def test_a_session_in_another_zone_is_refused(spark):
             require_utc(spark)
     finally:
         spark.conf.set("spark.sql.session.timeZone", "UTC")
+
+
+def test_alignment_refuses_what_casting_back_does_not_return(spark):
+    from pyspark.sql import types as T
+
+    whole = T.StructType().add("n", T.IntegerType())
+    fits = spark.createDataFrame([(3.0,), (None,)], "n double")
+    assert [r.n for r in align.align_to_schema(fits, whole).collect()] == [3, None]
+    with pytest.raises(align.LossyConversion) as problem:
+        align.align_to_schema(spark.createDataFrame([(1.9,), (2.0,)], "n double"), whole)
+    assert problem.value.losses == {"n": 1}
+
+
+def test_recode_join_keeps_the_number_of_rows(spark):
+    from terrace.functions import text
+
+    rows = spark.createDataFrame([("a",), ("b",), (None,)], "code string")
+    names = spark.createDataFrame([("a", "x"), ("a", "w"), ("c", "z")], "k string, label string")
+    got = text.recode_join(rows, "code", names, "k", "label", "name").collect()
+    assert sorted((r.code or "", r.name) for r in got) == [("", None), ("a", "w"), ("b", None)]
+
+
+def test_title_prefix_keeps_long_rests(spark):
+    from terrace.functions import text
+
+    long = "tipo " + "x" * 200
+    got = spark.range(1).select(text.title_prefix(F.lit(long), "TIPO ", "Tipo ").alias("t")).first().t
+    assert got == "Tipo " + "X" * 200
+
+
+def test_refreshes_from_one_pointer_do_not_share_a_folder(spark, tmp_path):
+    from terrace.sources.sinks import Snapshot
+
+    table = Snapshot(str(tmp_path / "snap"))
+    table.refresh(spark.range(7))
+    before = table.live_path(spark)
+    table.refresh(spark.range(9))
+    assert table.live_path(spark) != before and spark.read.parquet(before).count() == 7 and table.read(spark).count() == 9
