@@ -36,7 +36,7 @@ def mix(x: np.ndarray) -> np.ndarray:
 def _power_table(size: int) -> tuple[np.ndarray, np.ndarray]:
     have = _powers.get("up")
     if have is None or len(have) < size:
-        size = max(size, 1 << 16)
+        size = max(size, 1 << 20)
         for name, base in (("up", _BASE), ("down", _BASE_INVERSE)):
             table = np.full(size, base, dtype=np.uint64)
             table[0] = 1
@@ -86,7 +86,7 @@ def words_of(texts: list[str | None], lower: bool = True, split=None, raw: list[
     return Words(value, begin, end, np.searchsorted(begin, starts), data, total)
 
 
-def chunks(frames, text: str = "text", most_bytes: int = 2_000_000):
+def chunks(frames, text: str = "text", most_bytes: int = 1_000_000):
     """Cut Arrow-fed pandas frames so that one array pass holds a few megabytes of text, or one longer text."""
     for frame in frames:
         sizes = frame[text].str.len().fillna(0).to_numpy(dtype=np.int64)

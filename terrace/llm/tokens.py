@@ -17,7 +17,8 @@ import numpy as np
 
 from terrace.llm.hashing import words_of
 
-KNOWN_WORDS = 800_000
+#: Words whose ids a worker keeps: about 70 MB.
+KNOWN_WORDS = 400_000
 _PLAIN = frozenset(b"abcdefghijklmnopqrstuvwxyz")
 #: First bytes of combining marks, and the signs that begin a special token.
 _AS_IT_IS = (b"\xcc", b"\xcd", b"<|")
@@ -47,7 +48,7 @@ class WordTokenizer:
         os.environ.setdefault("TOKENIZERS_PARALLELISM", "false")
         from tokenizers import Tokenizer
 
-        self.tokenizer, self.known, self.known_words = Tokenizer.from_file(path), {}, known_words
+        self.tokenizer, self.known, self.older, self.known_words = Tokenizer.from_file(path), {}, {}, known_words
         self.letters_are_one_piece = False
         self.letters_are_one_piece = self._same_alone("\u00e9t\u00e9 \u00c9T\u00c9 stra\u00dfe \u0153uvre \u00f1u\u017e")
 
@@ -58,8 +59,6 @@ class WordTokenizer:
         return [t.id for w in signs for t in tokenize(w)] == self.tokenizer.encode(sample, add_special_tokens=False).ids
 
     def _learn(self, keys: list[int], words: list[bytes]) -> None:
-        if len(self.known) + len(keys) > self.known_words:
-            self.known.clear()
         tokenize, other = self.tokenizer.model.tokenize, []
         for key, word in zip(keys, words, strict=True):
             if _PLAIN.issuperset(word):  # one piece, whose bytes are its letters
@@ -82,15 +81,22 @@ class WordTokenizer:
         keys, first, which = np.unique(found.value, return_index=True, return_inverse=True)
         if not plain:  # the same bytes may stand for other ids where words come as they are
             keys = keys ^ np.uint64(0x5555555555555555)
-        names = keys.tolist()
-        new = [i for i, k in enumerate(names) if k not in self.known]
+        names, parts, new = keys.tolist(), [], []
+        for i, k in enumerate(names):
+            part = self.known.get(k)
+            if part is None and (part := self.older.get(k)) is not None:
+                self.known[k] = part
+            if part is None:
+                new.append(i)
+            parts.append(part)
         if new:
-            held = None if len(self.known) + len(new) <= self.known_words else {k: self.known[k] for k in names if k in self.known}
             data = found.data.tobytes()
             begin, end = found.begin[first], found.end[first]
             self._learn([names[i] for i in new], [data[begin[i] : end[i]] for i in new])
-            self.known.update(held or {})
-        parts = [self.known[k] for k in names]
+            for i in new:
+                parts[i] = self.known[names[i]]
+        if 2 * len(self.known) > self.known_words:  # words not met since the last time are forgotten
+            self.known, self.older = {}, self.known
         flat = np.frombuffer(b"".join(parts), dtype=np.uint32)
         size = np.fromiter((len(p) >> 2 for p in parts), dtype=np.int64, count=len(parts))
         start = np.cumsum(size) - size
