@@ -33,11 +33,17 @@ def remainder(name: str, divisor: int):
     return F.crc32(F.coalesce(F.col(name).cast("string"), F.lit("")).cast("binary")) % divisor
 
 
+#: Rows and bytes that go to a Python worker at once: a worker and its executor hold a few megabytes of text, or one longer text.
+BATCH = {"spark.sql.execution.arrow.maxRecordsPerBatch": 1_000, "spark.sql.execution.arrow.maxBytesPerBatch": 4 << 20}
 _shipped: set[str] = set()
 
 
 def ship_package(spark: SparkSession) -> None:
-    """Send this package's source to the executors' Python, once per application."""
+    """Send this package's source to the executors' Python, once per application; lower the session's Arrow batches to ``BATCH``."""
+    for name, most in BATCH.items():
+        given = spark.conf.get(name, None)
+        if given is None or not given.isdigit() or not 0 < int(given) <= most:
+            spark.conf.set(name, str(most))
     context = spark.sparkContext
     if context.applicationId in _shipped:
         return
