@@ -3,7 +3,7 @@
 A window per key sends all rows of the key to one task. That is right for
 ordinary keys and wrong for a key that holds a large part of the table, so keys
 above ``long_key_rows`` take another way: their timeline is cut into slices by
-the value of the order column, each slice is walked on its own, and one summary
+quantiles of the order column, each slice is walked on its own, and one summary
 row per slice carries the state across the cuts. Both ways give the same rows.
 """
 
@@ -18,9 +18,11 @@ from pyspark.sql import types as T
 
 LONG_KEY_ROWS = 2_000_000
 SLICE_ROWS = 65_536
+# Quantiles of a long key: slices have about SLICE_ROWS rows, or 1 / CUTS ** 2 of the key if that is more.
+CUTS = 64
 # Long keys number at most rows / LONG_KEY_ROWS; below this many they are broadcast,
 # beyond it the split is an ordinary shuffle join.
-BROADCAST_LONG_KEYS = 10_000
+BROADCAST_LONG_KEYS = 1_000
 
 RUN, RUN_START, NEXT_AT, RUN_ENDS, POSITION, PREVIOUS = (
     "_run", "_run_start", "_next_at", "_run_ends", "_position", "_previous",
@@ -29,12 +31,17 @@ _SLICE = "_slice"
 
 
 def _axis(df: DataFrame, order: str) -> Column:
-    """The order column as a number, to cut it into slices of equal width."""
+    """The order column as a number that never falls while the column rises: texts by their first six bytes."""
     kind = df.schema[order].dataType
     if isinstance(kind, (T.TimestampType, T.TimestampNTZType)):
         return F.unix_micros(F.col(order).cast("timestamp")).cast("double")
     if isinstance(kind, T.DateType):
         return F.unix_date(F.col(order)).cast("double")
+    if isinstance(kind, (T.StringType, T.BinaryType)):
+        head = F.rpad(F.hex(F.substring(F.col(order).cast("binary"), 1, 6)), 12, "0")
+        return F.conv(head, 16, 10).cast("double")
+    if isinstance(kind, T.BooleanType):
+        return F.col(order).cast("int").cast("double")
     return F.col(order).cast("double")
 
 
@@ -67,7 +74,7 @@ def split_long_keys(
     axis = _axis(df, order)
     long_keys = (
         df.groupBy(*keys)
-        .agg(F.count("*").alias("_rows"), F.min(axis).alias("_low"), F.max(axis).alias("_high"))
+        .agg(F.count("*").alias("_rows"))
         .filter(F.col("_rows") > long_key_rows)
     )
     found = long_keys.limit(BROADCAST_LONG_KEYS + 1).collect()
@@ -77,10 +84,19 @@ def split_long_keys(
         long_keys = F.broadcast(df.sparkSession.createDataFrame(found, long_keys.schema))
     ordinary = _on_keys(df, long_keys, keys, "left_anti")
     matched = _on_keys(df, long_keys, keys, "inner")
-    slices = F.ceil(F.col("_rows") / SLICE_ROWS)
-    width = F.greatest((F.col("_high") - F.col("_low")) / slices, F.lit(1e-9))
-    long_rows = matched.withColumn(_SLICE, F.floor((axis - F.col("_low")) / width)).drop("_rows", "_low", "_high")
-    return ordinary, long_rows
+    shares = F.expr(f"array({', '.join(f'{i / CUTS**2}D' for i in range(1, CUTS**2))})")
+    cuts = matched.groupBy(*keys).agg(
+        F.percentile_approx(axis, shares, 10 * CUTS**2).alias("_cuts"),
+        F.greatest(F.lit(1), F.floor(F.lit(CUTS**2 * SLICE_ROWS) / F.count("*"))).alias("_stride"),
+    )
+    cuts = cuts.withColumn("_coarse", F.filter("_cuts", lambda _, i: (i + 1) % CUTS == 0))
+    if len(found) <= BROADCAST_LONG_KEYS:
+        cuts = F.broadcast(cuts)
+    below = lambda cut: F.coalesce(cut <= axis, F.lit(False))
+    placed = _on_keys(matched, cuts, keys, "inner").withColumn("_part", F.size(F.filter("_coarse", below)))
+    fine = F.size(F.filter(F.slice("_cuts", F.col("_part") * CUTS + 1, F.lit(CUTS - 1)), below))
+    long_rows = placed.withColumn(_SLICE, F.floor((F.col("_part") * CUTS + fine) / F.col("_stride")))
+    return ordinary, long_rows.drop("_rows", "_cuts", "_coarse", "_stride", "_part")
 
 
 def last_per_instant(df: DataFrame, groups: Sequence[str], order: str, ties: Sequence[str]) -> DataFrame:

@@ -222,6 +222,34 @@ EVENT_LOG = """log AS (SELECT event_type IN ('purchase', 'signup') AS is_quality
   CAST(json_extract_string(props, '$.k') AS BIGINT) AS k FROM events)"""
 ORDERS = "SELECT o_orderkey, o_orderdate, o_totalprice FROM orders WHERE "
 
+LINE_COLUMNS = (
+    "l_orderkey", "l_partkey", "l_suppkey", "l_linenumber", "l_quantity", "l_extendedprice", "l_discount", "l_tax",
+    "l_returnflag", "l_linestatus", "l_shipdate",
+)
+
+
+def _natural_keys(table: str, columns: tuple[str, ...]) -> str:
+    """Keys of one column, and keys of two that hold no key of one."""
+    distinct = ", ".join(f"count(DISTINCT {c}) AS {c}" for c in columns)
+    row = "SELECT '{0}' AS candidate, {1} AS columns, CAST({2} AS BIGINT) AS distinct_rows, (SELECT count(*) FROM {3}) AS rows, true AS is_key"
+    parts = [f"{row.format(c, 1, c, table)} FROM one WHERE {c} = (SELECT count(*) FROM {table})" for c in columns]
+    for i, a in enumerate(columns):
+        for b in columns[i + 1 :]:
+            counted = f"(SELECT count(*) FROM (SELECT DISTINCT {a}, {b} FROM {table}))"
+            n = f"(SELECT count(*) FROM {table})"
+            parts.append(f"{row.format(f'{a} + {b}', 2, n, table)} FROM one WHERE {counted} = {n} AND {a} < {n} AND {b} < {n}")
+    return f"WITH one AS (SELECT {distinct} FROM {table}) " + " UNION ALL ".join(parts)
+
+
+def _profile(source: str, columns: tuple[str, ...], not_numbers: set[str]) -> str:
+    return " UNION ALL ".join(
+        f"""SELECT '{c}' AS "column", count(*) AS rows, count(*) - count("{c}") AS nulls,
+  round((count(*) - count("{c}")) / count(*), 6) AS null_share, CAST(min("{c}") AS VARCHAR) AS lowest, CAST(max("{c}") AS VARCHAR) AS highest,
+  {'CAST(NULL AS BIGINT)' if c in not_numbers else f'count(*) FILTER ("{c}" < 0)'} AS negatives FROM {source}"""
+        for c in columns
+    )
+
+
 ORACLE: dict[str, str] = {
     "load_current": _with(LOAD) + "SELECT * FROM load_now",
     "load_quarantine": _with(LOAD) + LOAD_HELD,
@@ -439,15 +467,16 @@ SELECT n_regionkey, n_name, round(total, 6) AS total, round(x, 6) AS x, round(y,
         f"count(*) AS rows, count(DISTINCT ({', '.join(c)})) = count(*) AS is_key FROM lineitem"
         for c in (("l_orderkey",), ("l_orderkey", "l_linenumber"), ("l_orderkey", "l_linenumber", "l_partkey", "l_suppkey"))
     ),
-    "smallest_key": """SELECT 'event_id' AS candidate, 1 AS columns, count(DISTINCT event_id) AS distinct_rows, count(*) AS rows,
-  count(DISTINCT event_id) = count(*) AS is_key FROM events""",
-    "column_profile": """WITH l AS (SELECT l_orderkey, nullif(l_returnflag, 'N') AS flag, l_linenumber - 4 AS o FROM lineitem)
-SELECT 'l_orderkey' AS "column", count(*) AS rows, count(*) - count(l_orderkey) AS nulls,
-  round((count(*) - count(l_orderkey)) / count(*), 6) AS null_share, CAST(min(l_orderkey) AS VARCHAR) AS lowest,
-  CAST(max(l_orderkey) AS VARCHAR) AS highest, count(*) FILTER (l_orderkey < 0) AS negatives FROM l
-UNION ALL SELECT 'flag', count(*), count(*) - count(flag), round((count(*) - count(flag)) / count(*), 6), min(flag), max(flag), NULL FROM l
-UNION ALL SELECT 'offset', count(*), count(*) - count(o), round((count(*) - count(o)) / count(*), 6), CAST(min(o) AS VARCHAR),
-  CAST(max(o) AS VARCHAR), count(*) FILTER (o < 0) FROM l""",
+    "smallest_key": " UNION ALL ".join(
+        f"SELECT '{c}' AS candidate, 1 AS columns, count(DISTINCT {c}) AS distinct_rows, count(*) AS rows, true AS is_key FROM events "
+        f"HAVING count(DISTINCT {c}) = count(*)"
+        for c in ("event_type", "event_id", "ts")
+    ),
+    "natural_keys": _natural_keys("lineitem", LINE_COLUMNS),
+    "column_profile": _profile(
+        "(SELECT * REPLACE (CAST(l_shipdate AS DATE) AS l_shipdate), nullif(l_returnflag, 'N') AS flag, l_linenumber - 4 AS \"offset\" FROM lineitem)",
+        (*LINE_COLUMNS, "flag", "offset"), {"l_returnflag", "l_linestatus", "l_shipdate", "flag"},
+    ),
     "duplicate_classes": """SELECT l_suppkey, l_shipdate, count(*) AS copies, count(DISTINCT l_linestatus) AS batches,
   CASE WHEN count(DISTINCT l_returnflag) > 1 THEN 'apparent' WHEN count(DISTINCT l_linestatus) > 1 THEN 'reingested' ELSE 'technical' END AS class
   FROM lineitem GROUP BY ALL HAVING count(*) > 1""",

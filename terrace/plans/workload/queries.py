@@ -751,12 +751,17 @@ def smallest_key(spark, sf_dir):
     return profile.smallest_key(report)
 
 
+@query
+def natural_keys(spark, sf_dir):
+    return profile.natural_keys(s.table(spark, sf_dir, "lineitem"), most_columns=2)
+
+
 @query
 def column_profile(spark, sf_dir):
-    measured = s.table(spark, sf_dir, "lineitem").select(
-        "l_orderkey", F.nullif(F.col("l_returnflag"), F.lit("N")).alias("flag"), (F.col("l_linenumber") - 4).alias("offset")
+    lines = s.table(spark, sf_dir, "lineitem").withColumns(
+        {"l_shipdate": F.col("l_shipdate").cast("date"), "flag": F.nullif(F.col("l_returnflag"), F.lit("N")), "offset": F.col("l_linenumber") - 4}
     )
-    return profile.column_profile(measured)
+    return profile.column_profile(lines)
 
 
 @query

@@ -95,6 +95,20 @@ def test_rows_without_an_order_value_are_kept(spark, limit):
     assert [(r["at"], r["v"], r[timeline.RUN]) for r in placed] == [(None, 2.0, 1), (5, 3.0, 2), (6, 3.0, 2)]
 
 
+def test_slices_of_a_clustered_timeline_are_even(spark, monkeypatch):
+    monkeypatch.setattr(timeline, "SLICE_ROWS", 500)
+    df = spark.range(20_000).selectExpr("'a' AS k", "if(id = 0, -1000000000, id) AS at", "id AS v")
+    _, rows = timeline.split_long_keys(df, ["k"], "at", 1_000)
+    sizes = [r["count"] for r in rows.groupBy("_slice").count().collect()]
+    assert sum(sizes) == 20_000 and max(sizes) <= 1_000
+
+
+def test_a_text_sequence_gives_the_same_history_either_way(spark):
+    df = spark.range(300).selectExpr("'a' AS k", "if(id % 50 = 0, NULL, concat('run-', lpad(string(id % 120), 4, '0'))) AS at", "id % 7 AS v")
+    whole, sliced = (history.change_history(df, ["k"], "at", ["v"], long_key_rows=n) for n in (1_000, 10))
+    assert whole.exceptAll(sliced).count() == 0 and sliced.exceptAll(whole).count() == 0
+
+
 def test_long_key_of_one_instant(spark):
     rows = [("a", 1, float(i), None) for i in range(50)]
     assert versions(frame(spark, SCHEMA, *rows), long_key_rows=10) == [("a", 1, None, 1, 49.0, None)]

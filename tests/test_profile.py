@@ -23,6 +23,15 @@ def test_keys(spark):
     assert profile.smallest_key(report).first()["candidate"] == "a + b"
 
 
+def test_all_smallest_keys_and_the_search(spark):
+    df = frame(spark, "a int, b int, c int, d int", (1, 1, 1, 7), (1, 2, 2, 7), (2, 1, 2, 7), (None, 1, 3, 7))
+    report = profile.key_candidates(df, [["a", "b"], ["a", "c"], ["a", "b", "c"], ["b", "d"]])
+    assert sorted(r["candidate"] for r in profile.smallest_key(report).collect()) == ["a + b", "a + c"]
+    assert sorted(r["candidate"] for r in profile.natural_keys(df).collect()) == ["a + b", "a + c", "b + c"]
+    assert profile.natural_keys(df, ["d"]).count() == 0
+    assert [r["candidate"] for r in profile.natural_keys(df.limit(0), ["a", "d"]).orderBy("candidate").collect()] == ["a", "d"]
+
+
 def test_profile(spark):
     df = frame(spark, "a int, b string", (1, "x"), (-2, None), (None, None))
     a, b = sorted(profile.column_profile(df).collect(), key=lambda r: r["column"])
