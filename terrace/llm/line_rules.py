@@ -4,12 +4,14 @@ The base rules look at one document. The cross-document rule hashes each normali
 counts for every (host, line) how many different documents hold it, and removes a line that
 more than ``least_documents`` and more than ``host_share`` of the host's documents hold. A
 document is depleted, and rejected, when lines of it are removed and fewer than ``least_chars``
-characters stay or more than ``depleted_share`` of them go. Exact copies of one text count as one document, so a
+characters stay or more than ``depleted_share`` of them go; every other document that holds
+common lines goes on without them, as ``clean_text``. Exact copies of one text count as one document, so a
 copied document does not condemn its own lines.
 
-Everything is DataFrame expressions. Only hashes and small counts are shuffled: one line is
-one row of numbers, pre-aggregated before the shuffle, and a line that half of all rows
-hold is one row per task.
+Everything is DataFrame expressions. For the counts only hashes and small numbers are shuffled:
+one line is one row of numbers, pre-aggregated before the shuffle, and a line that half of all
+rows hold is one row per task. The places of removed lines are a table with one row per document
+that holds any; the documents meet it by id, text hash and host. Spark broadcasts it if it is small.
 
 Defined results: null and empty texts have no words and fail the base rules. A null host is
 a host of its own. Repeated rows give repeated, equal results. An empty table gives none.
@@ -20,6 +22,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from terrace.llm.tables import stored
 from terrace.llm.texts import SPACE, WORD, each_index, let, words
 
 WINDOW = 5
@@ -77,13 +80,13 @@ def base_measures(text: Column) -> Column:
 
 
 def line_hashes(text: Column) -> Column:
-    """(hash, characters) of each line with a word; case, digits and outer white space do not tell lines apart."""
+    """(hash, characters, place) of each line with a word; case, digits and outer white space do not tell lines apart."""
     low = F.lower(F.coalesce(text, F.lit("")))
     normal = F.when(low.rlike("[0-9]"), F.regexp_replace(low, "[0-9]+", "0")).otherwise(low)
     return F.filter(
         F.transform(
             F.split(normal, "\n"),
-            lambda line: let(F.btrim(line, F.lit(" \t\x0b\f\r")), lambda x: F.struct(F.xxhash64(x).alias("line"), F.length(x).alias("n"))),
+            lambda line, at: let(F.btrim(line, F.lit(" \t\x0b\f\r")), lambda x: F.struct(F.xxhash64(x).alias("line"), F.length(x).alias("n"), at.alias("at"))),
         ),
         lambda x: x["n"] > 0,
     )
@@ -103,6 +106,19 @@ def common_lines(documents: DataFrame, least_documents: int, host_share: float,
     return counts.where(F.col("documents") > least_documents).join(hosts, "host").where(F.col("documents") > host_share * F.col("all")).select("host", "line")
 
 
+def removed_lines(documents: DataFrame, common: DataFrame, doc_id: str, text: str, host: str) -> DataFrame:
+    """(doc_id, content, host, removed): places and characters of the common lines, for each document that holds any."""
+    opened = documents.select(
+        F.col(doc_id).alias("_doc"),
+        F.xxhash64(text).alias("_content"),
+        F.xxhash64(host).alias("host"),
+        F.explode(line_hashes(F.col(text))).alias("x"),
+    ).select("_doc", "_content", "host", "x.*")
+    # Repeated rows hold the same lines in the same places, so a set counts them once.
+    held = opened.join(common, ["host", "line"]).groupBy("_doc", "_content", F.col("host").alias("_host"))
+    return held.agg(F.collect_set(F.struct("at", "n")).alias("_removed"))
+
+
 def quality_rules(
     documents: DataFrame,
     least_documents: int = LEAST_DOCUMENTS,
@@ -113,33 +129,28 @@ def quality_rules(
     text: str = "text",
     host: str = "source",
 ) -> DataFrame:
-    """One row per document: its measures, characters in its lines and in removed lines, base_failed, kept."""
-    common = common_lines(documents, least_documents, host_share, text, host).withColumn("common", F.lit(True))
-    none = F.lit(None)
-    # The first element of each document carries its measures and counts its copies; the others are its lines.
-    opened = documents.select(
-        F.col(doc_id).alias("doc_id"),
-        F.xxhash64(text).alias("content"),
-        F.xxhash64(host).alias("host"),
-        F.explode(
-            F.concat(
-                F.array(F.struct(none.cast("bigint").alias("line"), F.lit(0).alias("n"), base_measures(F.col(text)).alias("stats"))),
-                F.transform(line_hashes(F.col(text)), lambda x: F.struct(x["line"].alias("line"), x["n"].alias("n"), none.cast(STATS).alias("stats"))),
-            )
-        ).alias("x"),
-    ).select("doc_id", "content", "host", "x.*")
-    rows = (
-        opened.join(common, ["host", "line"], "left")
-        .groupBy("doc_id", "content", "host")
-        .agg(
-            F.first("stats", ignorenulls=True).alias("stats"),
-            F.count("stats").alias("copies"),
-            F.sum("n").alias("line_chars"),
-            F.sum(F.when(F.col("common"), F.col("n")).otherwise(0)).alias("removed"),
-        )
-        .select("doc_id", "stats.*", F.expr("line_chars div copies").alias("line_chars"), F.expr("removed div copies").alias("removed_chars"), F.explode(F.sequence(F.lit(1), F.col("copies"))).alias("copy"))
+    """One row per document: its measures, characters in its lines and in removed lines, ``clean_text`` (the
+    text without its common lines), base_failed, kept. The base rules look at the text as given."""
+    common = common_lines(documents, least_documents, host_share, text, host)
+    removed = stored(removed_lines(documents, common, doc_id, text, host), "removed-lines")
+    rows = documents.select(
+        F.col(doc_id).alias("doc_id"), F.col(text).alias("text"), F.xxhash64(text).alias("content"), F.xxhash64(host).alias("host")
+    )
+    same = F.col("doc_id").eqNullSafe(F.col("_doc")) & (F.col("content") == F.col("_content")) & (F.col("host") == F.col("_host"))
+    chars = lambda lines: F.aggregate(lines, F.lit(0).cast("long"), lambda total, x: total + x["n"])
+    places = F.transform("_removed", lambda x: x["at"])
+    clean = F.when(
+        F.col("_removed").isNotNull(), F.array_join(F.filter(F.split("text", "\n"), lambda line, at: ~F.array_contains(places, at)), "\n")
+    ).otherwise(F.col("text"))
+    rows = rows.join(removed, same, "left").select(
+        "doc_id",
+        base_measures(F.col("text")).alias("stats"),
+        chars(line_hashes(F.col("text"))).alias("line_chars"),
+        F.coalesce(chars(F.col("_removed")), F.lit(0)).alias("removed_chars"),
+        clean.alias("clean_text"),
     )
+    rows = rows.select("doc_id", "stats.*", "line_chars", "removed_chars", "clean_text")
     base_failed = (F.col("n_words") < 10) | (100 * F.col("n_repeat_words") > 20 * F.col("n_words"))
     left = F.col("line_chars") - F.col("removed_chars")
     depleted = (F.col("removed_chars") > 0) & ((left < least_chars) | (F.col("removed_chars") > depleted_share * F.col("line_chars")))
-    return rows.drop("copy").withColumn("base_failed", base_failed).withColumn("kept", ~base_failed & ~depleted)
+    return rows.withColumn("base_failed", base_failed).withColumn("kept", ~base_failed & ~depleted)

@@ -80,7 +80,7 @@ def op7_inner_products(spark, sf_dir):
 
 @query
 def op8_line_rules(spark, sf_dir):
-    names = ("doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed", "kept")
+    names = ("doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed", "kept", "clean_text")
     return line_rules.quality_rules(table(spark, sf_dir, "documents")).select(*names)
 
 
