@@ -14,7 +14,8 @@ labels and scores whole texts; it needs no label.
 Fitting sees a bounded, documented sample; scoring is a map over all rows without a shuffle.
 
 Defined results: null and empty texts get the score of a text without any finding. Null
-labels are unused. Repeated rows get equal scores. Without training rows all scores are 0.5.
+labels are unused. Repeated rows get equal scores. Without training rows all scores are 0.5,
+which says nothing of a text: ``without_toxic`` then keeps every document.
 """
 
 from __future__ import annotations
@@ -260,7 +261,9 @@ def toxicity_scores(documents: DataFrame, model: Toxicity, doc_id: str = "doc_id
 
 
 def without_toxic(documents: DataFrame, model: Toxicity, most: float = 0.5, text: str = "text") -> DataFrame:
-    """The documents, all columns, whose score is below ``most``."""
+    """The documents, all columns, whose score is below ``most``; all of them if the model could not be trained."""
+    if model.linear is None:
+        return documents
 
     @F.pandas_udf("double")
     def score(texts: pd.Series) -> pd.Series:
