@@ -2,7 +2,8 @@
 
 The base rules look at one document. The cross-document rule hashes each normalised line,
 counts for every (host, line) how many different documents hold it, and removes a line that
-more than ``least_documents`` and more than ``host_share`` of the host's documents hold. A
+more than ``least_documents`` of them hold, however large the host is. In small hosts a line
+also goes if two documents or more, and more than ``host_share`` of the host's, hold it. A
 document is depleted, and rejected, when lines of it are removed and fewer than ``least_chars``
 characters stay or more than ``depleted_share`` of them go; every other document that holds
 common lines goes on without them, as ``clean_text``. Exact copies of one text count as one document, so a
@@ -93,7 +94,7 @@ def line_hashes(text: Column) -> Column:
 
 
 def common_lines(documents: DataFrame, least_documents: int, host_share: float, text: str, host: str) -> DataFrame:
-    """(host, line) above both limits."""
+    """(host, line) above one of the limits."""
     held = documents.select(
         F.xxhash64(host).alias("host"),
         F.xxhash64(text).alias("content"),
@@ -103,7 +104,8 @@ def common_lines(documents: DataFrame, least_documents: int, host_share: float,
     hosts = (
         documents.select(F.xxhash64(host).alias("host"), F.xxhash64(text).alias("content")).distinct().groupBy("host").agg(F.count("*").alias("all"))
     )
-    return counts.where(F.col("documents") > least_documents).join(hosts, "host").where(F.col("documents") > host_share * F.col("all")).select("host", "line")
+    above = (F.col("documents") > least_documents) | (F.col("documents") > host_share * F.col("all"))
+    return counts.where(F.col("documents") > 1).join(hosts, "host").where(above).select("host", "line")
 
 
 def removed_lines(documents: DataFrame, common: DataFrame, doc_id: str, text: str, host: str) -> DataFrame:

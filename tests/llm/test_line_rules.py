@@ -45,9 +45,9 @@ def held(rows):
 def test_clean_text_equals_brute_force(spark):
     rows = texts()
     frame = spark.createDataFrame(rows, "doc_id long, text string, source string").repartition(3)
-    # Far above or below both limits: in all of a host's texts, or in one.
-    common = lambda rows: {key for key, n in held(rows)[0].items() if n > 10 and n > 0.3 * held(rows)[1][key[0]]}
-    want = brute_force(rows, common)
+    lines, documents = held(rows)
+    found = {key for key, n in lines.items() if n > 10 or (n > 1 and n > 0.3 * documents[key[0]])}
+    want = brute_force(rows, lambda rows: found)
     got = line_rules.quality_rules(frame, host_share=0.3).collect()
     assert Counter((r.doc_id, r.clean_text) for r in got) == Counter((d, want[d, t, h]) for d, t, h in rows)
     assert sum(want[d, t, h] != t for d, t, h in rows if t) > 30
@@ -58,3 +58,12 @@ def test_clean_text_equals_brute_force(spark):
         assert r.line_chars == size(text) and r.line_chars - r.removed_chars == size(r.clean_text)
         gone, left = r.removed_chars, size(r.clean_text)
         assert r.kept == (not r.base_failed and not (gone > 0 and (left < 50 or gone > 0.5 * size(text))))
+
+
+def test_a_count_of_documents_is_enough_in_a_large_host(spark):
+    word = lambda i: "".join("abcdefghij"[int(c)] for c in str(i))
+    rows = [(i, ("boilerplate\n" if i < 11 else "in ten\n" if i < 21 else "") + f"own {word(i)}", "large") for i in range(400)]
+    rows += [(1000 + i, ("shared here\n" if i < 2 else "") + f"only {word(i)}", "small") for i in range(8)]
+    frame = spark.createDataFrame(rows, "doc_id long, text string, source string")
+    got = {r.doc_id: r.clean_text for r in line_rules.quality_rules(frame).select("doc_id", "clean_text").collect()}
+    assert got == {d: t.replace("boilerplate\n", "").replace("shared here\n", "") for d, t, _ in rows}
