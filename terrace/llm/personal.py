@@ -1,7 +1,9 @@
 """Personal data: fixed forms, and forms that their contexts betray.
 
-Seeds are what four fixed expressions find. A candidate is a run of words that hold a digit
-or an at sign; its contexts are the words around it. Contexts (patterns) and candidates
+Seeds are what four fixed expressions find. Words in a row that hold a digit or an at sign are
+a run. A run is cut at the seeds in it: each seed is a candidate, and so is each stretch of
+whole words that no seed touches, where a word with an at sign stands alone. The contexts of a
+candidate are the words around its run, so those of a list share the words around the list. Contexts (patterns) and candidates
 (instances) form a graph. In every round a pattern's confidence in a kind is the smoothed
 share of its different instances that belong to the kind, and an instance belongs to a kind
 by the noisy-or of the patterns it is found in; seeds stay seeds. After the rounds, patterns
@@ -39,6 +41,9 @@ FORMS = {
 }
 _MARKED = r"[^\x20\x09-\x0D0-9@]*+[0-9@][^\x20\x09-\x0D]*+"
 CANDIDATE = rf"(?<![^\x20\x09-\x0D]){_MARKED}(?:\x20{_MARKED})*+"
+# Of a stretch: a word with an at sign, or other words as far as they go.
+PIECE = r"[^\x20@]*+@[^\x20]*+|(?<![^\x20])[^\x20@]++(?![^\x20])(?:\x20[^\x20@]++(?![^\x20]))*+"
+CUT = "array<struct<start:int,end:int,item:string,kinds:array<string>>>"
 SPAN = "struct<start:int,rank:int,end:int,kind:string>"
 SPANS = f"array<{SPAN}>"
 ROUNDS = 3
@@ -122,27 +127,47 @@ def _bare(word: Column) -> Column:
     return F.regexp_replace(F.lower(F.coalesce(word, F.lit(""))), r"[^\p{L}]+", "")
 
 
+def _cut(run: Column, seeds: Column) -> Column:
+    """(start, end, item, kinds) of the seeds in a run, and of the stretches that no seed touches."""
+    match, first = run["match"], run["start"]
+    hits = F.filter(seeds, lambda s: (s["start"] < run["end"]) & (s["end"] > first))
+
+    def stretch(h: Column, i: Column) -> Column:
+        """The pieces before seed i, or after the last."""
+        begin = F.coalesce(F.array_max(F.transform(F.slice(h, 1, i), lambda s: s["end"])) - first, F.lit(0))
+        end = F.coalesce(F.get(h, i)["start"] - first, F.length(match))
+        raw = F.substring(match, begin + 1, F.greatest(end - begin, F.lit(0)))
+        # A word that a seed touches goes with the seed.
+        touched = F.when(i > 0, F.length(F.regexp_extract(raw, r"^[^\x20]*+", 0))).otherwise(0)
+        kept = F.substring(raw, touched + 1, F.length(raw))
+        kept = F.when(i < F.size(h), F.regexp_replace(kept, r"(?<![^\x20])[^\x20]++$", "")).otherwise(kept)
+        at = first + begin + touched
+        return F.transform(
+            _places(kept, PIECE),
+            lambda p: F.struct((at + p["start"]).alias("start"), (at + p["end"]).alias("end"), p["match"].alias("item"), F.array().cast("array<string>").alias("kinds")),
+        ).cast(CUT)
+
+    def seed(s: Column) -> Column:
+        start, end = F.greatest(s["start"], first), F.least(s["end"], run["end"])
+        return F.struct(start.alias("start"), end.alias("end"), F.substring(match, start - first + 1, end - start).alias("item"), F.array(s["kind"]).alias("kinds"))
+
+    return let(hits, lambda h: F.concat(F.transform(h, seed).cast(CUT), F.flatten(F.transform(F.sequence(F.lit(0), F.size(h)), lambda i: stretch(h, i)))))
+
+
 def candidates(documents: DataFrame, doc_id: str, text: str) -> DataFrame:
-    """One row per candidate: document, place, instance, its two patterns, kinds of seeds that it overlaps."""
+    """One row per candidate: document, place, instance, its two patterns, and its kind if it is a seed."""
     held = documents.where(F.col(text).rlike("[0-9@]")).select(
         F.col(doc_id).alias("doc_id"),
         F.xxhash64(text).alias("content"),
         base_spans(F.col(text)).alias("seeds"),
         _places(F.col(text), CANDIDATE).alias("places"),
     )
-    one = held.select("doc_id", "content", "seeds", F.explode("places").alias("x"))
+    runs = held.select("doc_id", "content", "seeds", F.explode("places").alias("x"))
     before, after = words(F.col("x.before")), words(F.col("x.after"))
     left, far, right = _bare(F.try_element_at(before, F.lit(-1))), _bare(F.try_element_at(before, F.lit(-2))), _bare(F.get(after, F.lit(0)))
-    overlap = F.filter("seeds", lambda s: (s["start"] < F.col("x.end")) & (s["end"] > F.col("x.start")))
-    return one.select(
-        "doc_id",
-        "content",
-        F.col("x.start").alias("start"),
-        F.col("x.end").alias("end"),
-        F.lower("x.match").alias("item"),
-        F.array(F.concat_ws(" ", far, left, F.lit("_")), F.concat_ws(" ", left, F.lit("_"), right)).alias("patterns"),
-        F.array_distinct(F.transform(overlap, lambda s: s["kind"])).alias("kinds"),
-    )
+    patterns = F.array(F.concat_ws(" ", far, left, F.lit("_")), F.concat_ws(" ", left, F.lit("_"), right))
+    one = runs.select("doc_id", "content", patterns.alias("patterns"), F.explode(_cut(F.col("x"), F.col("seeds"))).alias("y"))
+    return one.select("doc_id", "content", "y.start", "y.end", F.lower("y.item").alias("item"), "patterns", "y.kinds")
 
 
 def score_patterns(found: DataFrame, rounds: int, support: int) -> DataFrame:
