@@ -36,8 +36,8 @@ def mask_personal_data(spark: SparkSession, docs: DataFrame, sf_dir: str) -> Dat
 
 
 def mix_sources(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Sources at their target weights: a document taken twice is two rows."""
-    return mixing.mixed_documents(docs).withColumn("n_chars", F.length("text").cast("long")).select(*docs.columns)
+    """Sources near their target weights, in whole documents: a document taken twice is two rows."""
+    return mixing.mixed_documents(docs, whole=True).withColumn("n_chars", F.length("text").cast("long")).select(*docs.columns)
 
 
 def pack_sequences(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

@@ -3,7 +3,9 @@
 Each source is cut into blocks by a hash of its rows. Its target in words makes whole passes
 over all its blocks and one pass over a part of them: blocks in an order drawn for this
 pass, until the quota is used up; the last block is used up row by row and its last row word
-by word, so a source's words meet its target exactly. The block draws of all sources are
+by word, so a source's words meet its target exactly. With ``whole`` no row is cut: the row at
+the end of a quota is taken whole if that comes nearer the quota (or as near), else not at all,
+and a source's words miss its target by at most half of that row. The block draws of all sources are
 then dealt to output shards: a tree halves the shards, and at each node a multivariate
 hypergeometric draw says how many of every source's draws go left. Shards therefore hold
 disjoint draws, and their source counts vary as in one random permutation of all draws.
@@ -86,11 +88,12 @@ def mix(
     text: str = "text",
     source: str = "source",
     keep: tuple[str, ...] = (),
+    whole: bool = False,
 ) -> DataFrame:
     """One row per document: its columns ``keep``, size, target of its source, words taken, and its draws.
 
     ``draws`` lists (pass, shard, words): one element for each time the mix takes the document, whole
-    or, in the last row of a quota, its first words. Sources weigh ``weights`` in turn, by code point.
+    or, in the last row of a quota and without ``whole``, its first words. Sources weigh ``weights`` in turn, by code point.
     """
     spark = documents.sparkSession
     sized = documents.select(
@@ -138,13 +141,15 @@ def mix(
     placed = ranked.join(ends, same_source(ranked, ends)).drop(ends["_source"])
     placed = placed.withColumn("_shard", F.size(F.filter("_ends", lambda e: e <= F.col("_rank"))))
     shards_of = placed.groupBy("_source", "_block").agg(F.sort_array(F.collect_list(F.struct(F.col("_turn").alias("turn"), F.col("_shard").alias("shard")))).alias("_draws"))
-    whole = cut.drop("_words", "_rest")
-    per_block = whole.join(shards_of, same_source(whole, shards_of) & (whole["_block"] == shards_of["_block"]), "left").drop(shards_of["_source"], shards_of["_block"])
+    planned = cut.drop("_words", "_rest")
+    per_block = planned.join(shards_of, same_source(planned, shards_of) & (planned["_block"] == shards_of["_block"]), "left").drop(shards_of["_source"], shards_of["_block"])
     per_block = stored(per_block, "block-plan")
 
     rows = sized.join(per_block, same_source(sized, per_block) & (sized["_block"] == per_block["_block"])).drop(per_block["_source"], per_block["_block"])
     inside = Window.partitionBy("_source", "_block").orderBy("_order", "_id").rowsBetween(Window.unboundedPreceding, 0)
-    rows = rows.withColumn("_part", F.greatest(F.lit(0), F.least(F.col("_size"), F.col("_left") - (F.sum("_size").over(inside) - F.col("_size")))))
+    open_words = F.col("_left") - (F.sum("_size").over(inside) - F.col("_size"))
+    part = F.when(2 * open_words >= F.col("_size"), F.col("_size")).otherwise(0) if whole else F.greatest(F.lit(0), F.least(F.col("_size"), open_words))
+    rows = rows.withColumn("_part", part)
     taken = F.transform(
         F.coalesce("_draws", F.array().cast("array<struct<turn:int,shard:int>>")),
         lambda d: F.struct(d["turn"].alias("turn"), d["shard"].alias("shard"), F.when(d["turn"] == most_repeats, F.col("_part")).otherwise(F.col("_size")).alias("words")),
@@ -164,8 +169,8 @@ def mix(
 def mixed_documents(documents: DataFrame, text: str = "text", **settings) -> DataFrame:
     """The rows of the mix, with the documents' own columns, dealt to shards and in a drawn order inside each.
 
-    A document that is taken n times is n rows. The one row that ends a source's quota keeps
-    its first words; all others are whole.
+    A document that is taken n times is n rows. All are whole with ``whole``; without it, the one
+    row that ends a source's quota keeps its first words, so that the words meet the target.
     """
     names = documents.columns
     held = documents.select(F.struct(*[F.col(c) for c in names]).alias("_row"), *[F.col(c) for c in names])
