@@ -53,7 +53,7 @@ def op2_vector_packing(spark, sf_dir):
 @query
 def op3_mixing(spark, sf_dir):
     mixed = mixing.mix(table(spark, sf_dir, "documents").select("doc_id", "text", "source"), whole=True)
-    return mixed.select(F.col("mixed_id").alias("doc_id"), "size", "source_size", "target", "taken")
+    return mixed.select(F.col("mixed_id").alias("doc_id"), "size", "source_size", "target", "taken", "draws")
 
 
 @query

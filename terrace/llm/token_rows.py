@@ -30,7 +30,7 @@ WIDTH = 2_048
 BLOCK_ROWS = 2_000
 LAST_ID = 1
 PAD_ID = 0
-ROWS = "row_id long, n_tokens int, doc_ids array<long>, starts array<long>, cu_seqlens array<int>, ids binary, ids_crc32 long"
+ROWS = "row_id long, n_tokens int, doc_ids array<long>, starts array<long>, cu_seqlens array<int>, ids binary, ids_crc32 long, position_ids binary"
 
 
 class RoomTree:
@@ -94,7 +94,8 @@ def token_rows(
     """One row of the matrix per result row.
 
     ``ids`` are ``width`` little-endian numbers of ``id_type``, padded; ``cu_seqlens`` has the pieces'
-    ends from 0 on, ``starts`` where each piece lies in its document. Ids that ``id_type`` cannot hold
+    ends from 0 on, ``starts`` where each piece lies in its document, ``position_ids`` each id's place
+in its piece (little-endian, 2 bytes up to a width of 65,536, else 4). Ids that ``id_type`` cannot hold
     are an error.
     """
     blocks = parts(documents, block_rows)
@@ -127,12 +128,17 @@ def token_rows(
             data = b"".join([whole[d][size * s : size * (s + n)] for d, s, n in inside])
             pad = np.full(width - int(ends[-1]), pad_id, dtype=id_type).tobytes()
             ids = [None if pd.isna(names[d]) else int(names[d]) for d, _, _ in inside]
-            out.append((base + int(rows[members[0]]), int(ends[-1]), ids, [s for _, s, _ in inside], ends.tolist(), data + pad, zlib.crc32(data)))
-        return pd.DataFrame(out, columns=["row_id", "n_tokens", "doc_ids", "starts", "cu_seqlens", "ids", "ids_crc32"])
+            places = position_resets(ends.tolist(), width).astype(position_type(width)).tobytes()
+            out.append((base + int(rows[members[0]]), int(ends[-1]), ids, [s for _, s, _ in inside], ends.tolist(), data + pad, zlib.crc32(data), places))
+        return pd.DataFrame(out, columns=["row_id", "n_tokens", "doc_ids", "starts", "cu_seqlens", "ids", "ids_crc32", "position_ids"])
 
     return dealt.groupBy("block").applyInPandas(pack, ROWS)
 
 
+def position_type(width: int) -> str:
+    return "<u2" if width <= 65_536 else "<u4"
+
+
 def position_resets(cu_seqlens: list[int], width: int) -> np.ndarray:
     """Position ids of a row: each piece counts from 0, and so does the padding."""
     ends = np.unique(np.r_[np.asarray(cu_seqlens, dtype=np.int64), width])
@@ -140,11 +146,6 @@ def position_resets(cu_seqlens: list[int], width: int) -> np.ndarray:
     return (np.arange(width) - starts).astype(np.int32)
 
 
-def write_matrix(rows: DataFrame, path: str, width: int = WIDTH) -> None:
+def write_matrix(rows: DataFrame, path: str) -> None:
     """Files of packed id rows with segment ends and position resets, one row per matrix row."""
-
-    def add(frames):
-        for frame in frames:
-            yield frame.assign(position_ids=[position_resets(list(c), width).astype("<u2" if width <= 65_536 else "<u4").tobytes() for c in frame["cu_seqlens"]])
-
-    rows.mapInPandas(add, ROWS + ", position_ids binary").write.parquet(path)
+    rows.write.parquet(path)
