@@ -13,8 +13,8 @@ an edge, but for the last four; those are told by the piece's tail, its last fou
 3. Node flow: a node occurs as often as its edges out and the tails that are it. Nodes through
    which one edge in and one edge out carry the whole flow are unary; the edges around
    them are compacted to paths by doubling pointers. A path lies inside one piece.
-4. Counts of shorter groups: each edge of a path is an occurrence of the groups it begins
-   with, each tail one of all groups inside it. Sums combine before the shuffle.
+4. Counts: a path gives the longest groups. A shorter one occurs as often as the groups of one
+   word more that begin with it, and the tails that end with it; sums combine before the shuffle.
 5. A phrase with ``least`` occurrences is dropped if a phrase of one word more holds it as often
    (then so does one in between any longer one). The others are scored at each cut, in decimals
    of 38 digits; the lowest score counts.
@@ -44,7 +44,11 @@ BEST = 2_000
 #: Bits of the two bitmaps that go to every task: 8 MB each.
 FILTER_BITS = 26
 #: Different keys that a task holds before it hands them on.
-HELD = 500_000
+HELD = 1 << 18
+#: Rows in one batch from a task.
+ROWS = 1 << 15
+#: A language's list is made from so many lists of parts of its phrases.
+PARTS = 32
 _BUCKET = 15  # log2 of the bits in one bitmap of Spark's
 _SEPARATOR = np.zeros(256, dtype=bool)
 _SEPARATOR[[*b".,;:!?", *range(0x0A, 0x0E)]] = True
@@ -81,24 +85,38 @@ class Pieces:
 
 
 class Tally:
-    """Sums by 64-bit key, over many batches; ``full`` when it holds many keys."""
+    """Sums by 64-bit key, over many batches; ``full`` when it holds many keys. New sums wait until they are as many as the old."""
 
     def __init__(self):
         self.keys, self.sums = np.zeros(0, dtype=np.uint64), np.zeros(0, dtype=np.int64)
+        self.new: list[tuple[np.ndarray, np.ndarray]] = []
+        self.waiting = 0
 
     def add(self, keys: np.ndarray) -> None:
-        new, n = np.unique(keys, return_counts=True)
-        both, place = np.unique(np.r_[self.keys, new], return_inverse=True)
-        self.sums = np.bincount(place, np.r_[self.sums, n], len(both)).astype(np.int64)
-        self.keys = both
+        self.new.append(np.unique(keys, return_counts=True))
+        self.waiting += len(self.new[-1][0])
+        if self.waiting > max(len(self.keys), HELD // 2):
+            self.settle()
+
+    def settle(self) -> None:
+        keys, sums = (np.concatenate(x) for x in zip((self.keys, self.sums), *self.new, strict=True))
+        self.keys, place = np.unique(keys, return_inverse=True)
+        self.sums = np.bincount(place, sums, len(self.keys)).astype(np.int64)
+        self.new, self.waiting = [], 0
 
     @property
     def full(self) -> bool:
         return len(self.keys) > HELD
 
+    def rows(self):
+        """Keys and sums, a bounded number at a time."""
+        self.settle()
+        for i in range(0, len(self.keys), ROWS):
+            yield self.keys[i : i + ROWS], self.sums[i : i + ROWS]
+
 
 def _seen(bits: np.ndarray, keys: np.ndarray, size: int) -> np.ndarray:
-    """Whether the bitmap has the keys; all have if there is no bitmap."""
+    """Whether the bitmap has the keys."""
     place = keys & np.uint64((1 << size) - 1)
     return (bits[place >> np.uint64(3)] >> (place & np.uint64(7)).astype(np.uint8)) & 1 == 1
 
@@ -120,8 +138,9 @@ def bitmap(keys: DataFrame, size: int) -> np.ndarray:
 def word_counts(texts: DataFrame) -> DataFrame:
     """(lang, null, words) for each language and (null, key, occurrences) for each word of it."""
 
-    def rows(tally: Tally) -> pd.DataFrame:
-        return pd.DataFrame({"lang": None, "key": pd.array(tally.keys.view(np.int64), dtype="Int64"), "n": tally.sums})
+    def rows(tally: Tally):
+        for keys, sums in tally.rows():
+            yield pd.DataFrame({"lang": None, "key": pd.array(keys.view(np.int64), dtype="Int64"), "n": sums})
 
     def count(frames):
         tally, totals = Tally(), {}
@@ -132,10 +151,11 @@ def word_counts(texts: DataFrame) -> DataFrame:
                 for lang, n in zip(frame["lang"], pieces.counts.tolist(), strict=True):
                     totals[lang] = totals.get(lang, 0) + n
                 if tally.full:
-                    yield rows(tally)
+                    yield from rows(tally)
                     tally = Tally()
-        yield rows(tally)
-        yield pd.DataFrame({"lang": list(totals), "key": pd.array([None] * len(totals), dtype="Int64"), "n": list(totals.values())})
+            yield from rows(tally)
+        if totals:
+            yield pd.DataFrame({"lang": list(totals), "key": pd.array([None] * len(totals), dtype="Int64"), "n": list(totals.values())})
 
     return texts.mapInPandas(count, "lang string, key long, n long").groupBy("lang", "key").agg(F.sum("n").alias("n"))
 
@@ -143,6 +163,10 @@ def word_counts(texts: DataFrame) -> DataFrame:
 def pair_counts(texts: DataFrame, often, size: int) -> DataFrame:
     """(key, occurrences) of neighbours in a piece that are both in the bitmap of words."""
 
+    def rows(tally: Tally):
+        for keys, sums in tally.rows():
+            yield pd.DataFrame({"key": keys.view(np.int64), "n": sums})
+
     def count(frames):
         tally = Tally()
         with np.errstate(over="ignore"):
@@ -151,9 +175,9 @@ def pair_counts(texts: DataFrame, often, size: int) -> DataFrame:
                 known = _seen(often.value, pieces.key, size)
                 tally.add(pieces.pairs()[pieces.joined & known[1:] & known[:-1]])
                 if tally.full:
-                    yield pd.DataFrame({"key": tally.keys.view(np.int64), "n": tally.sums})
+                    yield from rows(tally)
                     tally = Tally()
-        yield pd.DataFrame({"key": tally.keys.view(np.int64), "n": tally.sums})
+            yield from rows(tally)
 
     return texts.mapInPandas(count, "key long, n long").groupBy("key").agg(F.sum("n").alias("n"))
 
@@ -183,7 +207,8 @@ def graph(texts: DataFrame, words_often, pairs_often, longest: int, size: int) -
         shown: dict[int, tuple[str, bool, int, str]] = {}
 
         def rows():
-            return pd.DataFrame([(*shown[k], n) for k, n in zip(held.keys.tolist(), held.sums.tolist(), strict=True)], columns=["lang", "tail", "size", "phrase", "n"])
+            for keys, sums in held.rows():
+                yield pd.DataFrame([(*shown[k], n) for k, n in zip(keys.tolist(), sums.tolist(), strict=True)], columns=["lang", "tail", "size", "phrase", "n"])
 
         with np.errstate(over="ignore"):
             for frame in chunks(frames):
@@ -201,10 +226,10 @@ def graph(texts: DataFrame, words_often, pairs_often, longest: int, size: int) -
                     if k not in shown:
                         shown[k] = (langs[pieces.text[first[i]]], bool(tail[i]), int(length[i]), pieces.phrase(int(first[i]), int(length[i])))
                 held.add(key)
-                if held.full:
-                    yield rows()
+                if len(shown) > HELD:
+                    yield from rows()
                     held, shown = Tally(), {}
-        yield rows()
+            yield from rows()
 
     found = texts.mapInPandas(tell, "lang string, tail boolean, size int, phrase string, n long")
     return found.groupBy("lang", "tail", "size", "phrase").agg(F.sum("n").alias("n"))
@@ -251,24 +276,21 @@ def unary_paths(edges: DataFrame, nodes: DataFrame, longest: int) -> DataFrame:
     return paths.select("lang", F.concat(F.split("root", " "), F.slice("more", F.lit(2), F.greatest(F.size("more") - 1, F.lit(0)))).alias("words"), "n")
 
 
-def group_counts(paths: DataFrame, nodes: DataFrame, told: DataFrame, longest: int) -> DataFrame:
-    """(lang, size, phrase, a): occurrences of every group of up to ``longest`` words."""
-    shown = lambda words, i, k: F.struct(F.lit(k).alias("size"), F.array_join(F.slice(words, i + 1, F.lit(k)), " ").alias("phrase"))
-    sizes = [k for k in range(1, longest + 1) if k != longest - 1]
-    begun = paths.select(
-        "lang",
-        F.explode(
-            F.flatten(F.transform(F.sequence(F.lit(0), F.size("words") - longest), lambda i: F.array(*[shown(F.col("words"), i, k) for k in sizes])))
-        ).alias("x"),
-        "n",
-    )
-    words = F.split("phrase", " ")
-    inside = lambda k: F.when(
-        F.col("size") >= k, F.transform(F.sequence(F.lit(0), F.col("size") - k), lambda i: shown(words, i, k))
-    ).otherwise(F.array().cast("array<struct<size:int,phrase:string>>"))
-    ended = told.where("tail").select("lang", F.explode(F.concat(*[inside(k) for k in range(1, longest - 1)])).alias("x"), "n")
-    short = begun.unionByName(ended).select("lang", "x.*", "n").groupBy("lang", "size", "phrase").agg(F.sum("n").alias("a"))
-    return short.unionByName(nodes.select("lang", F.lit(longest - 1).alias("size"), "phrase", F.col("n").alias("a")))
+def group_counts(paths: DataFrame, nodes: DataFrame, told: DataFrame, longest: int, least: int) -> DataFrame:
+    """(lang, size, phrase, a): groups of up to ``longest`` words that occur ``least`` times.
+
+    A group occurs as often as the groups of one word more that begin with it, and the tails that end with it.
+    """
+    windows = F.transform(F.sequence(F.lit(0), F.size("words") - longest), lambda i: F.array_join(F.slice("words", i + 1, F.lit(longest)), " "))
+    counts = paths.select("lang", F.lit(longest).alias("size"), F.explode(windows).alias("phrase"), F.col("n").alias("a"))
+    level, tails = nodes, told.where("tail")
+    for size in range(longest - 1, 0, -1):
+        if size < longest - 1:
+            begun = level.select("lang", first_words(F.col("phrase"), size).alias("phrase"), "n")
+            ended = tails.where(F.col("size") >= size).select("lang", last_words(F.col("phrase"), size).alias("phrase"), "n")
+            level = stored(begun.unionByName(ended).groupBy("lang", "phrase").agg(F.sum("n").alias("n")), "group-flow")
+        counts = counts.unionByName(level.where(F.col("n") >= least).select("lang", F.lit(size).alias("size"), "phrase", F.col("n").alias("a")))
+    return counts
 
 
 def uncovered(counts: DataFrame, longest: int) -> DataFrame:
@@ -307,8 +329,8 @@ def _prepared(documents: DataFrame, lang: str, text: str) -> DataFrame:
 def phrase_graph(documents: DataFrame, least: int = LEAST, longest: int = LONGEST, filter_bits: int = FILTER_BITS, lang: str = "lang", text: str = "text"):
     """(words per language, edges and tails, nodes, unary paths): the graph of groups of frequent neighbours, as tables.
 
-    ``paths`` (lang, words, n) holds every edge once: those that occur ``least`` times compacted, others as
-    paths of one edge. A path of more words than ``longest`` is a passage that occurs whole or not at all.
+    ``paths`` (lang, words, n) holds every edge that occurs ``least`` times once. A path of more words than
+    ``longest`` is a passage that occurs whole or not at all.
     """
     spark = documents.sparkSession
     texts = _prepared(documents, lang, text)
@@ -319,10 +341,8 @@ def phrase_graph(documents: DataFrame, least: int = LEAST, longest: int = LONGES
     pairs_often = spark.sparkContext.broadcast(bitmap(pairs, filter_bits))
     told = stored(graph(texts, words_often, pairs_often, longest, filter_bits), "edges-and-tails")
     nodes = stored(node_flow(told, longest), "nodes")
-    edges = told.where("NOT tail").select("lang", "phrase", "n")
-    heavy = unary_paths(edges.where(F.col("n") >= least), nodes.where(F.col("n") >= least), longest)
-    light = edges.where(F.col("n") < least).select("lang", F.split("phrase", " ").alias("words"), "n")
-    return totals, told, nodes, stored(heavy.unionByName(light), "paths-whole")
+    edges = told.where("NOT tail AND n >= " + str(least)).select("lang", "phrase", "n")
+    return totals, told, nodes, stored(unary_paths(edges, nodes.where(F.col("n") >= least), longest), "paths-whole")
 
 
 def collocations(
@@ -336,8 +356,10 @@ def collocations(
 ) -> DataFrame:
     """(lang, rank, phrase, a, l, r, n, score): the ``best`` phrases of each language."""
     totals, told, nodes, paths = phrase_graph(documents, least, longest, filter_bits, lang, text)
-    counts = stored(group_counts(paths, nodes, told, longest).where(F.col("a") >= least), "group-counts")
+    counts = stored(group_counts(paths, nodes, told, longest, least), "group-counts")
     found = scored(uncovered(counts, longest), counts, totals, longest)
-    order = Window.partitionBy("lang").orderBy(F.desc("score"), F.desc("a"), "phrase")
-    listed = found.withColumn("rank", F.row_number().over(order).cast("long")).where(F.col("rank") <= best)
+    best_first = (F.desc("score"), F.desc("a"), F.asc("phrase"))
+    part = Window.partitionBy("lang", F.pmod(F.xxhash64("phrase"), F.lit(PARTS))).orderBy(*best_first)
+    short = found.withColumn("_place", F.row_number().over(part)).where(F.col("_place") <= best).drop("_place")
+    listed = short.withColumn("rank", F.row_number().over(Window.partitionBy("lang").orderBy(*best_first)).cast("long")).where(F.col("rank") <= best)
     return listed.select("lang", "rank", "phrase", "a", "l", "r", "n", "score")
