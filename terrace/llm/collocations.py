@@ -9,7 +9,8 @@ an edge, but for the last four; those are told by the piece's tail, its last fou
    in a phrase, so pieces end there for the graph. Counts are kept by 64-bit hash and reach the
    tasks as bitmaps of fixed size: what two words share there can only keep a rare word, never
    cost a frequent one, so the result does not depend on the size of the bitmap.
-2. A third pass tallies edges and tails as texts, per task and then in a shuffle.
+2. A third pass tallies edges and tails, per task and then in buckets of keys; two phrases are
+   taken for one with a chance of 2^-64.
 3. Node flow: a node occurs as often as its edges out and the tails that are it. Nodes through
    which one edge in and one edge out carry the whole flow are unary; the edges around
    them are compacted to paths by doubling pointers. A path lies inside one piece.
@@ -45,6 +46,12 @@ BEST = 2_000
 FILTER_BITS = 26
 #: Different keys that a task holds before it hands them on.
 HELD = 1 << 18
+SPELLED = 1 << 19
+#: Words of the corpus for each bucket in which edges and tails meet, and the fewest buckets.
+BUCKET_WORDS = 16_000_000
+BUCKETS = 32
+#: Numbers of a packed row, one per edge or tail.
+BLOCK = {"key": "<u8", "n": "<i8", "lang": "<i4", "tail": "u1", "size": "u1"}
 #: Rows in one batch from a task.
 ROWS = 1 << 15
 #: A language's list is made from so many lists of parts of its phrases.
@@ -182,8 +189,26 @@ def pair_counts(texts: DataFrame, often, size: int) -> DataFrame:
     return texts.mapInPandas(count, "key long, n long").groupBy("key").agg(F.sum("n").alias("n"))
 
 
-def graph(texts: DataFrame, words_often, pairs_often, longest: int, size: int) -> DataFrame:
-    """(lang, tail, size, phrase, n): edges, and tails of the pieces (``tail``), as often as they occur."""
+def merged(blocks: pd.DataFrame) -> pd.DataFrame:
+    """(lang, tail, size, phrase, n) of the blocks of one bucket: sums by key, each key spelled by its first block."""
+    numbers = {name: np.concatenate([np.frombuffer(x, dtype=kind) for x in blocks[name]]) for name, kind in BLOCK.items()}
+    langs = [x for own in blocks["langs"] for x in own]
+    before = np.cumsum([0, *(len(own) for own in blocks["langs"])])[:-1]
+    numbers["lang"] = numbers["lang"] + np.repeat(before, [len(x) // 4 for x in blocks["lang"]])
+    _, first, place = np.unique(numbers["key"], return_index=True, return_inverse=True)
+    phrases = np.array([p for x in blocks["phrases"] for p in x.split("\n")], dtype=object)[first]
+    n = np.bincount(place, numbers["n"], len(first)).astype(np.int64)
+    return pd.DataFrame(
+        {"lang": np.array(langs, dtype=object)[numbers["lang"][first]], "tail": numbers["tail"][first] > 0, "size": numbers["size"][first].astype(np.int32), "phrase": phrases, "n": n}
+    )
+
+
+def graph(texts: DataFrame, words_often, pairs_often, longest: int, size: int, buckets: int) -> DataFrame:
+    """(lang, tail, size, phrase, n): edges, and tails of the pieces (``tail``), as often as they occur.
+
+    A task hands on one packed row for each bucket of keys in which it has any, as a row of its own for
+    each phrase would cost several times the bytes; buckets are merged and opened after the shuffle.
+    """
 
     def groups(pieces: Pieces):
         """(first word, size, is it a tail) of every edge and tail."""
@@ -207,8 +232,19 @@ def graph(texts: DataFrame, words_often, pairs_often, longest: int, size: int) -
         shown: dict[int, tuple[str, bool, int, str]] = {}
 
         def rows():
-            for keys, sums in held.rows():
-                yield pd.DataFrame([(*shown[k], n) for k, n in zip(keys.tolist(), sums.tolist(), strict=True)], columns=["lang", "tail", "size", "phrase", "n"])
+            held.settle()
+            bucket = held.keys % np.uint64(buckets)
+            order = np.argsort(bucket, kind="stable")
+            for part in np.split(order, np.flatnonzero(np.diff(bucket[order])) + 1) if len(order) else ():
+                found = [shown[k] for k in held.keys[part].tolist()]
+                langs = {x: i for i, x in enumerate(dict.fromkeys(x[0] for x in found))}
+                yield pd.DataFrame(
+                    {
+                        "bucket": [int(bucket[part[0]])], "key": [held.keys[part].tobytes()], "n": [held.sums[part].tobytes()],
+                        "lang": [np.array([langs[x[0]] for x in found], dtype=np.int32).tobytes()], "tail": [bytes(x[1] for x in found)],
+                        "size": [bytes(x[2] for x in found)], "langs": [list(langs)], "phrases": ["\n".join(x[3] for x in found)],
+                    }
+                )
 
         with np.errstate(over="ignore"):
             for frame in chunks(frames):
@@ -226,13 +262,14 @@ def graph(texts: DataFrame, words_often, pairs_often, longest: int, size: int) -
                     if k not in shown:
                         shown[k] = (langs[pieces.text[first[i]]], bool(tail[i]), int(length[i]), pieces.phrase(int(first[i]), int(length[i])))
                 held.add(key)
-                if len(shown) > HELD:
+                if len(shown) > SPELLED:
                     yield from rows()
                     held, shown = Tally(), {}
             yield from rows()
 
-    found = texts.mapInPandas(tell, "lang string, tail boolean, size int, phrase string, n long")
-    return found.groupBy("lang", "tail", "size", "phrase").agg(F.sum("n").alias("n"))
+    names = ", ".join(f"{name} binary" for name in BLOCK)
+    packed = texts.mapInPandas(tell, f"bucket long, {names}, langs array<string>, phrases string")
+    return packed.groupBy("bucket").applyInPandas(merged, "lang string, tail boolean, size int, phrase string, n long")
 
 
 def first_words(phrase: Column, n: int) -> Column:
@@ -339,7 +376,8 @@ def phrase_graph(documents: DataFrame, least: int = LEAST, longest: int = LONGES
     words_often = spark.sparkContext.broadcast(bitmap(words.where("key IS NOT NULL"), filter_bits))
     pairs = stored(pair_counts(texts, words_often, filter_bits).where(F.col("n") >= least), "pairs")
     pairs_often = spark.sparkContext.broadcast(bitmap(pairs, filter_bits))
-    told = stored(graph(texts, words_often, pairs_often, longest, filter_bits), "edges-and-tails")
+    buckets = max(BUCKETS, (totals.agg(F.sum("n")).first()[0] or 0) // BUCKET_WORDS)
+    told = stored(graph(texts, words_often, pairs_often, longest, filter_bits, buckets), "edges-and-tails")
     nodes = stored(node_flow(told, longest), "nodes")
     edges = told.where("NOT tail AND n >= " + str(least)).select("lang", "phrase", "n")
     return totals, told, nodes, stored(unary_paths(edges, nodes.where(F.col("n") >= least), longest), "paths-whole")
