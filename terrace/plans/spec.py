@@ -78,6 +78,9 @@ class CleanTable:
     # Key column by whose month the stored state is partitioned: a run rewrites only
     # the months it touches.
     month_column: str | None = None
+    # Parts of a month in the stored state, by a hash of the key: a run rewrites only
+    # those it touches. A part should be small enough to be rebuilt within a run.
+    state_buckets: int = 1
 
     @property
     def stored(self) -> tuple[Column, ...]:

@@ -1,11 +1,16 @@
 """Clean tables kept up to date by micro-batches.
 
-Every micro-batch is written once, split into accepted and rejected rows and by
-the month of the key. The months it touches, and only those, are then rebuilt:
-the current rows from their previous state and the new rows, the history from all
-accepted rows of the month. One small manifest names the folders in force, so a
-batch becomes visible at once or not at all, a repeated batch changes nothing, and
-rows may arrive in any order.
+The state of a table is cut into parts, by the month of the key and a bucket of the key's
+hash. A part holds one row per key and instant with its place on the key's timeline, so
+the current rows and the history are filters over it. Every micro-batch
+is written once, split into accepted and rejected rows and by part. The parts it touches,
+and only those, are then rebuilt from their stored rows and the new ones: copies of an
+instant collapse, and each row gets its version anew, so rows may arrive in any order. The
+cost of a batch follows the parts it touches, not the rows ever accepted.
+
+One small manifest names the folder in force for each part, so a batch becomes visible at once or
+not at all and a repeated batch changes nothing. It grows with parts, never with batches
+or rows: rejected rows and rule counts are found by their batch numbers.
 
 Nothing is kept only in executor memory: each step reads files that the step
 before it wrote, so a lost executor costs a retry and never a wrong count.
@@ -22,6 +27,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from terrace.operators import history, quality
+from terrace.operators import timeline as tl
 from terrace.plans.spec import (
     HISTORY_COLUMNS,
     SEQUENCE,
@@ -35,9 +41,9 @@ from terrace.plans.spec import (
     struct_of,
 )
 from terrace.session import require_utc
-from terrace.sources.files import list_names, publish_small, read_small
+from terrace.sources.files import list_names, path_exists, publish_small, read_small
 
-ACCEPTED, MONTH, NUMBER = "accepted", "state_month", "version_number"
+ACCEPTED, PART, NUMBER, RUN_ENDS, BATCH = "accepted", "state_part", "version_number", "version_ends", "batch"
 COUNT_COLUMNS = tuple(
     Column(n, t) for n, t in (
         ("table", "string"), ("rule", "string"), ("kind", "string"), ("passed", "bigint"), ("failed", "bigint"),
@@ -47,14 +53,11 @@ COUNT_COLUMNS = tuple(
 
 @dataclass
 class Manifest:
-    """Which folders are in force. Grows with months and batches, never with rows."""
+    """Which folders are in force. Grows with the parts of the state, never with batches or rows."""
 
     last_batch: int = -1
-    rejected: list[int] = field(default_factory=list)
-    counted: list[int] = field(default_factory=list)
-    changes: dict[str, list[int]] = field(default_factory=dict)
-    current: dict[str, int] = field(default_factory=dict)
-    history: dict[str, int] = field(default_factory=dict)
+    buckets: int = 0
+    parts: dict[str, int] = field(default_factory=dict)
 
 
 class CheckpointLost(Exception):
@@ -64,10 +67,10 @@ class CheckpointLost(Exception):
 class IncrementalTable:
     """State of one clean table below ``root`` (a folder that all executors reach)."""
 
-    def __init__(self, table: CleanTable, root: str, long_key_rows: int | None = None):
+    def __init__(self, table: CleanTable, root: str, buckets: int | None = None):
         self.table = table
         self.root = root.rstrip("/")
-        self._limits = {} if long_key_rows is None else {"long_key_rows": long_key_rows}
+        self.buckets = table.state_buckets if buckets is None else buckets
 
     # -- generations ---------------------------------------------------------------
 
@@ -91,17 +94,19 @@ class IncrementalTable:
         # The folders are already chosen by name, so no partition columns are inferred.
         return spark.read.schema(schema).option("recursiveFileLookup", "true").parquet(*paths)
 
-    def current(self, spark: SparkSession) -> DataFrame:
-        """Row in force per key."""
+    def _state(self, spark: SparkSession) -> DataFrame:
         base = self._generation(spark)
-        live = self._manifest(spark, base).current
-        return self._read(spark, [f"{base}/current/batch={b}/{m}" for m, b in live.items()], self.table.stored)
+        live = self._manifest(spark, base).parts
+        cols = (*self.table.stored, *HISTORY_COLUMNS, Column(NUMBER, "int"), Column(RUN_ENDS, "boolean"))
+        return self._read(spark, [f"{base}/state/batch={b}/{p}" for p, b in live.items()], cols)
+
+    def current(self, spark: SparkSession) -> DataFrame:
+        """Row in force per key: the last one of its timeline, which no other ends."""
+        return self._state(spark).filter(F.col(history.END_AT).isNull() & F.col(RUN_ENDS)).select(*names_of(self.table.stored))
 
     def _numbered_history(self, spark: SparkSession) -> DataFrame:
-        base = self._generation(spark)
-        live = self._manifest(spark, base).history
-        cols = (*self.table.stored, *HISTORY_COLUMNS, Column(NUMBER, "int"))
-        return self._read(spark, [f"{base}/history/batch={b}/{m}" for m, b in live.items()], cols)
+        versions = self._state(spark).filter(RUN_ENDS).drop(RUN_ENDS)
+        return versions if self.table.versioned else versions.limit(0)
 
     def history(self, spark: SparkSession) -> DataFrame:
         """All versions with their technical columns."""
@@ -111,16 +116,23 @@ class IncrementalTable:
         """All versions with business names; numbers were stored with the history."""
         return history.with_business_names(self._numbered_history(spark), NUMBER, SEQUENCE, VERSION_COLUMNS)
 
-    def quarantine(self, spark: SparkSession) -> DataFrame:
+    def _by_batch(self, spark: SparkSession, folder: str, cols: Sequence[Column], *folders: Column) -> DataFrame:
+        """Rows of all batches that count, with the columns that folders below the batch stand for."""
         base = self._generation(spark)
-        paths = [f"{base}/staged/batch={b}/{ACCEPTED}=false" for b in self._manifest(spark, base).rejected]
-        return self._read(spark, paths, (*self.table.stored, VIOLATED_COLUMN))
+        schema = struct_of((*cols, Column(BATCH, "bigint"), *folders))
+        if not path_exists(spark, f"{base}/{folder}"):
+            return spark.createDataFrame([], schema)
+        # A batch that did not end has a number above the last one.
+        return spark.read.schema(schema).parquet(f"{base}/{folder}").filter(F.col(BATCH) <= self._manifest(spark, base).last_batch)
+
+    def quarantine(self, spark: SparkSession) -> DataFrame:
+        cols = (*self.table.stored, VIOLATED_COLUMN)
+        staged = self._by_batch(spark, "staged", cols, Column(ACCEPTED, "boolean"), Column(PART, "string"))
+        return staged.filter(~F.col(ACCEPTED)).select(*names_of(cols))
 
     def rule_counts(self, spark: SparkSession) -> DataFrame:
         """Passed and failed rows per rule, one row per batch and rule."""
-        base = self._generation(spark)
-        paths = [f"{base}/rule_counts/batch={b}" for b in self._manifest(spark, base).counted]
-        return self._read(spark, paths, COUNT_COLUMNS)
+        return self._by_batch(spark, "rule_counts", COUNT_COLUMNS).select(*names_of(COUNT_COLUMNS))
 
     # -- writer --------------------------------------------------------------------
 
@@ -135,10 +147,12 @@ class IncrementalTable:
         manifest = self._manifest(spark, base)
         if batch_id <= manifest.last_batch:
             return
+        if manifest.buckets not in (0, self.buckets):
+            raise ValueError(f"{base} has {manifest.buckets} buckets a month, not {self.buckets}; use full_refresh to change them")
 
         staged = f"{base}/staged/batch={batch_id}"
         self._stage(batch, staged)
-        months = list_names(spark, f"{staged}/{ACCEPTED}=true")
+        parts = list_names(spark, f"{staged}/{ACCEPTED}=true")
         sides = [n for n in list_names(spark, staged) if n.startswith(f"{ACCEPTED}=")]
 
         if sides:
@@ -147,58 +161,47 @@ class IncrementalTable:
             )
             counts = quality.rule_counts(written, table.drop_rules, table.warn_rules, table.name)
             counts.write.mode("overwrite").parquet(f"{base}/rule_counts/batch={batch_id}")
-            manifest.counted.append(batch_id)
-        if f"{ACCEPTED}=false" in sides:
-            manifest.rejected.append(batch_id)
-        if months:
-            self._rebuild_current(spark, base, manifest, staged, months, batch_id)
-            for month in months:
-                manifest.changes.setdefault(month, []).append(batch_id)
-            if table.versioned:
-                self._rebuild_history(spark, base, manifest, months, batch_id)
-
-        manifest.last_batch = batch_id
+        if parts:
+            paths = [f"{staged}/{ACCEPTED}=true/{p}" for p in parts]
+            paths += [f"{base}/state/batch={manifest.parts[p]}/{p}" for p in parts if p in manifest.parts]
+            self._rebuild(self._read(spark, paths, table.stored), f"{base}/state/batch={batch_id}")
+            manifest.parts.update({p: batch_id for p in parts})
+
+        manifest.last_batch, manifest.buckets = batch_id, self.buckets
         publish_small(spark, f"{base}/_manifest/{batch_id:012d}", json.dumps(vars(manifest)))
 
-    def _month(self):
+    def _part(self):
+        """Month of the key and bucket of its hash, as a name."""
         column = self.table.month_column
-        return F.lit("all") if column is None else F.trunc(F.col(column), "month").cast("string")
-
-    def _write_by_month(self, rows: DataFrame, path: str) -> None:
-        # Rebalancing gives each month files of even size, splits a month that is
-        # far larger than the others, and avoids a file per task and month.
-        rows.withColumn(MONTH, self._month()).hint("rebalance", MONTH).write.mode("overwrite").partitionBy(
-            MONTH
-        ).parquet(path)
+        month = F.lit("all") if column is None else F.coalesce(F.trunc(F.col(column), "month").cast("string"), F.lit("none"))
+        bucket = F.pmod(F.xxhash64(*self.table.key), F.lit(self.buckets))
+        return F.concat_ws(".", month, bucket.cast("string"))
 
     def _stage(self, batch: DataFrame, path: str) -> None:
         """The only pass over the source: rules are evaluated here and stored with the row."""
         marked = quality.mark_violations(batch, self.table.drop_rules, VIOLATED)
         accepted = F.size(VIOLATED) == 0
-        parts = marked.withColumn(ACCEPTED, accepted).withColumn(MONTH, F.when(accepted, self._month()))
-        parts.hint("rebalance", ACCEPTED, MONTH).write.mode("overwrite").partitionBy(ACCEPTED, MONTH).parquet(path)
-
-    def _rebuild_current(
-        self, spark: SparkSession, base: str, manifest: Manifest, staged: str, months: Sequence[str], batch_id: int
-    ) -> None:
-        paths = [f"{staged}/{ACCEPTED}=true/{m}" for m in months]
-        paths += [f"{base}/current/batch={manifest.current[m]}/{m}" for m in months if m in manifest.current]
-        rows = self._read(spark, paths, self.table.stored)
-        self._write_by_month(
-            history.latest_per_key(rows, self.table.key, SEQUENCE), f"{base}/current/batch={batch_id}"
-        )
-        manifest.current.update({m: batch_id for m in months})
-
-    def _rebuild_history(
-        self, spark: SparkSession, base: str, manifest: Manifest, months: Sequence[str], batch_id: int
-    ) -> None:
-        paths = [f"{base}/staged/batch={b}/{ACCEPTED}=true/{m}" for m in months for b in manifest.changes[m]]
-        rows = self._read(spark, paths, self.table.stored)
-        versions = history.change_history(
-            rows, self.table.key, SEQUENCE, self.table.versioned, number=NUMBER, **self._limits
-        )
-        self._write_by_month(versions, f"{base}/history/batch={batch_id}")
-        manifest.history.update({m: batch_id for m in months})
+        parts = marked.withColumn(ACCEPTED, accepted).withColumn(PART, F.when(accepted, self._part()))
+        parts.hint("rebalance", ACCEPTED, PART).write.mode("overwrite").partitionBy(ACCEPTED, PART).parquet(path)
+
+    def _rebuild(self, rows: DataFrame, path: str) -> None:
+        """Write the parts that ``rows`` (stored and new ones) belong to, one row per key and instant."""
+        table = self.table
+        if table.versioned:
+            placed = tl.timeline(rows, table.key, SEQUENCE, table.versioned).select(
+                *names_of(table.stored),
+                F.col(tl.RUN_START).alias(history.START_AT),
+                F.col(tl.NEXT_AT).alias(history.END_AT),
+                F.col(tl.RUN).cast("int").alias(NUMBER),
+                F.col(tl.RUN_ENDS).alias(RUN_ENDS),
+            )
+        else:
+            placed = history.latest_per_key(rows, table.key, SEQUENCE).withColumns(
+                {history.START_AT: F.col(SEQUENCE), history.END_AT: F.lit(None).cast("timestamp"), NUMBER: F.lit(1), RUN_ENDS: F.lit(True)}
+            )
+        # Rebalancing gives each part files of even size, splits a part that is far larger
+        # than the others, and avoids a file per task and part.
+        placed.withColumn(PART, self._part()).hint("rebalance", PART).write.mode("overwrite").partitionBy(PART).parquet(path)
 
     # -- runs ----------------------------------------------------------------------
 

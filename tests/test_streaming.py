@@ -46,7 +46,7 @@ def check_against_batch(spark, state, raw):
 def test_any_split_and_order_equals_batch(spark, tmp_path, seed):
     rows = load_rows(seed)
     random.Random(seed).shuffle(rows)
-    state = IncrementalTable(clean.LOAD, str(tmp_path / "state"), long_key_rows=8)
+    state = IncrementalTable(clean.LOAD, str(tmp_path / "state"), buckets=2)
     for number, start in enumerate(range(0, len(rows), 50)):
         batch = clean.clean_load(raw_rows(spark, RAW, rows[start : start + 50]))
         state.apply(batch, number)
@@ -59,16 +59,51 @@ def test_unfinished_batch_is_invisible_and_its_retry_counts_once(spark, tmp_path
     state = IncrementalTable(clean.LOAD, str(tmp_path / "state"))
     state.apply(clean.clean_load(raw_rows(spark, RAW, rows[:30])), 0)
     before = sorted(map(str, state.current(spark).collect()))
-    rebuild = IncrementalTable._rebuild_history
-    monkeypatch.setattr(IncrementalTable, "_rebuild_history", lambda *a, **k: 1 / 0)
+    rebuild = IncrementalTable._rebuild
+    monkeypatch.setattr(IncrementalTable, "_rebuild", lambda *a, **k: 1 / 0)
     with pytest.raises(ZeroDivisionError):
         state.apply(clean.clean_load(raw_rows(spark, RAW, rows[30:])), 1)
     assert sorted(map(str, state.current(spark).collect())) == before
-    monkeypatch.setattr(IncrementalTable, "_rebuild_history", rebuild)
+    monkeypatch.setattr(IncrementalTable, "_rebuild", rebuild)
     state.apply(clean.clean_load(raw_rows(spark, RAW, rows[30:])), 1)
     check_against_batch(spark, state, raw_rows(spark, RAW, rows))
 
 
+def test_a_batch_reads_and_writes_only_the_parts_it_touches(spark, tmp_path, monkeypatch):
+    state = IncrementalTable(clean.LOAD, str(tmp_path / "state"), buckets=5)
+    rows = [{**r, "id_subsistema": k} for k in ("NE", "SE", "S", "N") for r in load_rows(7, 40)]
+    state.apply(clean.clean_load(raw_rows(spark, RAW, rows)), 0)
+    sizes = []
+    for number in range(1, 4):
+        one = {**rows[0], "din_instante": "2026-08-02 00:00:00", "val_cargaenergiamwmed": 7.0 + number, "ingestion_timestamp": f"2026-10-02 00:00:0{number}"}
+        rows.append(one)
+        read = []
+        keep = IncrementalTable._read
+        monkeypatch.setattr(IncrementalTable, "_read", lambda self, spark, paths, cols, keep=keep, read=read: read.extend(paths) or keep(self, spark, paths, cols))
+        state.apply(clean.clean_load(raw_rows(spark, RAW, [one])), number)
+        monkeypatch.undo()
+        stored = [p for p in read if "/state_part=" in p and "/staged/" not in p]
+        assert len(stored) == 1 and stored[0].endswith("/state_part=" + stored[0].rsplit("=", 1)[1])
+        written = [f.name for f in (tmp_path / "state" / "generation=000000" / "state" / f"batch={number}").iterdir() if f.name.startswith("state_part=")]
+        assert written == [stored[0].rsplit("/", 1)[1]]
+        sizes.append((tmp_path / "state" / "generation=000000" / "_manifest" / f"{number:012d}").stat().st_size)
+    assert max(sizes) == min(sizes)  # the manifest does not grow with batches
+    check_against_batch(spark, state, raw_rows(spark, RAW, rows))
+    with pytest.raises(ValueError, match="buckets"):
+        IncrementalTable(clean.LOAD, str(tmp_path / "state"), buckets=3).apply(clean.clean_load(raw_rows(spark, RAW, rows)), 9)
+
+
+def test_copies_of_an_instant_are_stored_once(spark, tmp_path):
+    state = IncrementalTable(clean.LOAD, str(tmp_path / "state"))
+    rows = load_rows(8, 30)
+    for number in range(3):
+        state.apply(clean.clean_load(raw_rows(spark, RAW, rows)), number)
+    folders = [p for p in (tmp_path / "state" / "generation=000000" / "state" / "batch=2").iterdir() if p.name.startswith("state_part=")]
+    held = spark.read.option("recursiveFileLookup", "true").parquet(*map(str, folders))
+    assert held.count() == held.select(*clean.LOAD.key, "ingerido_em").distinct().count() < 30
+    check_against_batch(spark, state, raw_rows(spark, RAW, rows * 3))
+
+
 def test_stream_reads_only_new_files_and_refresh_rebuilds(spark, tmp_path):
     landing, rows = str(tmp_path / "raw"), load_rows(4, 90)
     raw_rows(spark, RAW, rows[:60]).write.parquet(landing)
