@@ -370,6 +370,7 @@ ORACLE: dict[str, str] = {
     "latest_per_key": _with(LEVELS) + """SELECT * FROM levels QUALIFY row_number() OVER (
   PARTITION BY user_id, event_type ORDER BY ts DESC, level DESC, event_id DESC) = 1""",
     "change_history": _levels("user_id, event_type", "SELECT user_id, event_type, ts, level, event_id, start_at, end_at FROM hist"),
+    "stream_keyed_state": _levels("user_id, event_type", "SELECT user_id, event_type, ts, level, event_id, start_at, end_at FROM hist"),
     "change_history_long_keys": _levels("event_type", "SELECT user_id, event_type, ts, level, event_id, start_at, end_at FROM hist"),
     "readable_versions": _levels(
         "user_id, event_type", f"SELECT user_id, event_type, level, event_id, {READABLE}, ts AS confirmado_em FROM hist"

@@ -23,6 +23,7 @@ from terrace.plans.spec import SEQUENCE, VERSION_COLUMNS, VIOLATED
 from terrace.plans.workload import sources as s
 from terrace.session import scratch_path
 from terrace.sources import align, audit, backfill, scans, sinks
+from terrace.streaming import keyed
 from terrace.streaming.apply import IncrementalTable
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -814,3 +815,15 @@ def stream_quarantine(spark, sf_dir):
 def stream_rule_counts(spark, sf_dir):
     counts = kept_by_stream(spark, sf_dir).rule_counts(spark)
     return counts.groupBy("table", "rule", "kind").agg(F.sum("passed").alias("passed"), F.sum("failed").alias("failed"))
+
+
+@query
+def stream_keyed_state(spark, sf_dir):
+    """Events arrive out of order in files; each key's versions are kept in state and changes are emitted."""
+    keys, landing = ["user_id", "event_type"], scratch_path(spark, "landing")
+    revisions_of_level(spark, sf_dir).repartition(4, F.hash("event_id")).write.parquet(landing)
+    stream = scans.read_stream(spark, landing, spark.read.parquet(landing).schema, maxFilesPerTrigger="2")
+    told = scratch_path(spark, "changes")
+    keyed.run_keyed(keyed.version_changes(stream, keys, "ts", ["level"]), told, scratch_path(spark, "keyed-checkpoint"))
+    made = keyed.versions_of(spark.read.parquet(told), keys, "ts")
+    return made.withColumnsRenamed({history.START_AT: "start_at", history.END_AT: "end_at"})
