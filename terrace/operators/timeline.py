@@ -20,6 +20,8 @@ LONG_KEY_ROWS = 2_000_000
 SLICE_ROWS = 65_536
 # Quantiles of a long key: slices have about SLICE_ROWS rows, or 1 / CUTS ** 2 of the key if that is more.
 CUTS = 64
+# Texts that share more first bytes than this are placed by what follows these.
+MOST_COMMON_BYTES = 1_024
 # Long keys number at most rows / LONG_KEY_ROWS; below this many they are broadcast,
 # beyond it the split is an ordinary shuffle join.
 BROADCAST_LONG_KEYS = 1_000
@@ -31,20 +33,31 @@ _SLICE = "_slice"
 
 
 def _axis(df: DataFrame, order: str) -> Column:
-    """The order column as a number that never falls while the column rises: texts by their first six bytes."""
+    """The order column as a number that never falls while the column rises: texts by six bytes after ``_skip``."""
     kind = df.schema[order].dataType
     if isinstance(kind, (T.TimestampType, T.TimestampNTZType)):
         return F.unix_micros(F.col(order).cast("timestamp")).cast("double")
     if isinstance(kind, T.DateType):
         return F.unix_date(F.col(order)).cast("double")
     if isinstance(kind, (T.StringType, T.BinaryType)):
-        head = F.rpad(F.hex(F.substring(F.col(order).cast("binary"), 1, 6)), 12, "0")
+        head = F.rpad(F.hex(F.substring(F.col(order).cast("binary"), F.col("_skip") + 1, F.lit(6))), 12, "0")
         return F.conv(head, 16, 10).cast("double")
     if isinstance(kind, T.BooleanType):
         return F.col(order).cast("int").cast("double")
     return F.col(order).cast("double")
 
 
+def _common_bytes(df: DataFrame, order: str) -> Column:
+    """How many first bytes all of a key's order values share, if they are texts: those of the least and the greatest."""
+    if not isinstance(df.schema[order].dataType, (T.StringType, T.BinaryType)):
+        return F.lit(0)
+    low, high = F.min(F.col(order).cast("binary")), F.max(F.col(order).cast("binary"))
+    ends = F.struct(low.alias("low"), high.alias("high"))
+    lengths = F.sequence(F.lit(0), F.least(F.length(ends["low"]), F.length(ends["high"]), F.lit(MOST_COMMON_BYTES)))
+    shared = F.filter(lengths, lambda n: F.substring(ends["low"], F.lit(1), n) == F.substring(ends["high"], F.lit(1), n))
+    return F.coalesce(F.array_max(shared), F.lit(0))
+
+
 def _same(left: Column, right: Column) -> Column:
     return left.eqNullSafe(right)
 
@@ -74,7 +87,7 @@ def split_long_keys(
     axis = _axis(df, order)
     long_keys = (
         df.groupBy(*keys)
-        .agg(F.count("*").alias("_rows"))
+        .agg(F.count("*").alias("_rows"), _common_bytes(df, order).alias("_skip"))
         .filter(F.col("_rows") > long_key_rows)
     )
     found = long_keys.limit(BROADCAST_LONG_KEYS + 1).collect()
@@ -96,7 +109,7 @@ def split_long_keys(
     placed = _on_keys(matched, cuts, keys, "inner").withColumn("_part", F.size(F.filter("_coarse", below)))
     fine = F.size(F.filter(F.slice("_cuts", F.col("_part") * CUTS + 1, F.lit(CUTS - 1)), below))
     long_rows = placed.withColumn(_SLICE, F.floor((F.col("_part") * CUTS + fine) / F.col("_stride")))
-    return ordinary, long_rows.drop("_rows", "_cuts", "_coarse", "_stride", "_part")
+    return ordinary, long_rows.drop("_rows", "_skip", "_cuts", "_coarse", "_stride", "_part")
 
 
 def last_per_instant(df: DataFrame, groups: Sequence[str], order: str, ties: Sequence[str]) -> DataFrame:

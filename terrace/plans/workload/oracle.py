@@ -450,6 +450,12 @@ SELECT o_custkey, greatest(mo, lo) AS block_start, least(last_day(mo), hi) AS bl
   TIMESTAMP '2024-01-31' AS ingestion_timestamp, CASE WHEN event_type = 'view' THEN 'two' ELSE 'one' END AS source,
   CAST(count(*) OVER (PARTITION BY event_type = 'view') AS INTEGER) AS rows_written FROM events""",
     "yearly_files": ORDERS + "CAST(o_orderdate AS DATE) BETWEEN DATE '1997-06-10' AND DATE '1998-07-15'",
+    "yearly_files_mixed_types": """SELECT o_orderkey, CAST(o_custkey AS VARCHAR) AS o_custkey, o_orderdate,
+  CASE WHEN year(o_orderdate) = 1998 THEN 'new' END AS remark FROM orders WHERE CAST(o_orderdate AS DATE) BETWEEN DATE '1997-06-10' AND DATE '1998-07-15'""",
+    "table_differences": """SELECT o_orderkey, CASE WHEN o_orderkey % 97 = 0 THEN 'missing' ELSE 'changed' END AS difference,
+  CAST(1 AS BIGINT) AS left_rows, CAST(CASE WHEN o_orderkey % 97 = 0 THEN 0 ELSE 1 END AS BIGINT) AS right_rows
+  FROM orders WHERE o_orderkey % 97 = 0 OR o_orderkey % 89 = 0 AND o_orderstatus <> 'X'
+UNION ALL SELECT -o_orderkey - 1, 'added', 0, 1 FROM orders WHERE o_orderkey % 101 = 0""",
     "snapshot_refresh": "SELECT o_orderpriority, count(*) AS n FROM orders GROUP BY 1",
     "csv_round_trip": "SELECT n_name, count(*) AS n FROM nation JOIN customer ON n_nationkey = c_nationkey GROUP BY 1",
     "audited_runs": """SELECT 'customers' AS pipeline_name, '1998-07-15' AS data_referencia, 'success' AS status,

@@ -14,7 +14,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from terrace.functions import dates, nested, numeric, text
-from terrace.operators import history, metrics as m, profile, quality
+from terrace.operators import difference, history, metrics as m, profile, quality
 from terrace.operators.flatten import explode_series
 from terrace.plans.energy import clean, monitoring, reports, values as v
 from terrace.plans.energy.catalog import METRIC_TABLES
@@ -677,6 +677,32 @@ def yearly_files(spark, sf_dir):
     return scans.read_years(spark, files, current_year=2002).filter(dates.in_day_window("o_orderdate", REFERENCE_DAY, 400))
 
 
+@query
+def yearly_files_mixed_types(spark, sf_dir):
+    """Yearly files of which one has narrower keys and another has customers as text and a new column."""
+    landing, made = scratch_path(spark, "years"), s.table(spark, sf_dir, "orders").withColumn("year", F.year("o_orderdate"))
+    rows = made.select("o_orderkey", "o_custkey", "o_orderdate", "year")
+    rows.filter("year NOT IN (1997, 1998)").write.partitionBy("year").parquet(landing)
+    rows.filter("year = 1997").withColumn("o_orderkey", F.col("o_orderkey").cast("int")).drop("year").write.parquet(f"{landing}/year=1997")
+    texts = rows.filter("year = 1998").withColumns({"o_custkey": F.col("o_custkey").cast("string"), "remark": F.lit("new")})
+    texts.drop("year").write.parquet(f"{landing}/year=1998")
+    files = {year: f"{landing}/year={year}" for year in range(1995, 2003)}
+    return scans.read_years(spark, files, current_year=2002).filter(dates.in_day_window("o_orderdate", REFERENCE_DAY, 400))
+
+
+@query
+def table_differences(spark, sf_dir):
+    """Orders against a copy in which some rows are gone, some are new, and some have another status."""
+    orders_now = s.table(spark, sf_dir, "orders").select("o_orderkey", "o_orderstatus", "o_totalprice")
+    key = F.col("o_orderkey")
+    copy = orders_now.filter(key % 97 != 0).withColumn("o_orderstatus", F.when(key % 89 == 0, "X").otherwise(F.col("o_orderstatus")))
+    copy = copy.unionByName(orders_now.filter(key % 101 == 0).withColumn("o_orderkey", -key - 1))
+    paths = [scratch_path(spark, "buckets") for _ in range(2)]
+    for frame, path in zip((orders_now, copy), paths, strict=True):
+        difference.write_buckets(frame, path, ["o_orderkey"])
+    return difference.table_differences(*[spark.read.parquet(p) for p in paths], ["o_orderkey"])
+
+
 @query
 def snapshot_refresh(spark, sf_dir):
     """A table published twice; readers see the second version whole."""

@@ -10,16 +10,15 @@ from pyspark.sql import types as T
 
 from terrace.functions.nested import json_elements
 from terrace.sources.files import path_exists
+from terrace.sources.layouts import read_layouts
 
 
 class SourceMissing(Exception):
     """A file that must be published is not there."""
 
 
-def read_years(
-    spark: SparkSession, paths: Mapping[int, str], current_year: int, merge_schema: bool = True
-) -> DataFrame:
-    """One scan over yearly files, columns matched by name.
+def read_years(spark: SparkSession, paths: Mapping[int, str], current_year: int) -> DataFrame:
+    """Yearly files as one frame, columns matched by name and brought to their least common type.
 
     Only the file of the current year may be missing (it is published late); a gap
     in another year, or no file at all, is an error.
@@ -30,7 +29,7 @@ def read_years(
         raise SourceMissing(f"no file for {[y for y in missing if y != current_year]}")
     if not present:
         raise SourceMissing(f"no file for any of {sorted(paths)}")
-    return spark.read.option("mergeSchema", str(merge_schema).lower()).parquet(*present.values())
+    return read_layouts(spark, list(present.values()))
 
 
 def read_stream(spark: SparkSession, path: str, schema: T.StructType, **options: str) -> DataFrame:

@@ -103,6 +103,18 @@ def test_slices_of_a_clustered_timeline_are_even(spark, monkeypatch):
     assert sum(sizes) == 20_000 and max(sizes) <= 1_000
 
 
+def test_instants_as_text_are_sliced_evenly(spark, monkeypatch):
+    """All begin with the same bytes; the slices follow what comes after them."""
+    monkeypatch.setattr(timeline, "SLICE_ROWS", 500)
+    instant = "date_format(timestamp '2026-01-01 00:00:00' + make_interval(0, 0, 0, 0, id, 0, 0), \"yyyy-MM-dd'T'HH:mm\")"
+    df = spark.range(6_000).selectExpr("if(id % 2 = 0, 'a', NULL) AS k", f"if(id = 7, NULL, {instant}) AS at", "id % 5 AS v")
+    _, rows = timeline.split_long_keys(df, ["k"], "at", 1_000)
+    sizes = [r["count"] for r in rows.groupBy("k", "_slice").count().collect()]
+    assert sum(sizes) == 6_000 and max(sizes) <= 1_500
+    whole, sliced = (history.change_history(df, ["k"], "at", ["v"], long_key_rows=n) for n in (10_000, 1_000))
+    assert whole.exceptAll(sliced).count() == 0 and sliced.exceptAll(whole).count() == 0
+
+
 def test_a_text_sequence_gives_the_same_history_either_way(spark):
     df = spark.range(300).selectExpr("'a' AS k", "if(id % 50 = 0, NULL, concat('run-', lpad(string(id % 120), 4, '0'))) AS at", "id % 7 AS v")
     whole, sliced = (history.change_history(df, ["k"], "at", ["v"], long_key_rows=n) for n in (1_000, 10))
