@@ -17,7 +17,9 @@
 No step pairs all members of a bucket and none is cut off at a number of partners.
 
 Defined results: a document with fewer words than a shingle is one shingle, one without words
-has an empty set and is linked with nothing. Rows with one id count as one document. A row
+has an empty set and is linked with nothing. Rows with one id and one text count as one
+document; rows with one id and different texts are documents of their own, each in the group of
+its text. Where one of a group stays, it is the one with the least id, then the least hash of the text. A row
 without an id is its own group: component null, kept. Hash values stand for shingles; two
 different ones are taken for one with a chance of 2^-64. An empty table gives no rows.
 """
@@ -30,6 +32,7 @@ import numpy as np
 import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.window import Window
 
 from terrace.llm.components import components
 from terrace.llm.hashing import chunks, mix, words_of
@@ -40,7 +43,8 @@ SHINGLE_WORDS = 5
 PERCENT = 80
 BAND_ROWS = 5
 MISSED = 2e-7
-DIGEST = "doc_id long, n_shingles long, set_a long, set_b long, bands array<long>"
+KEYS = ("n_shingles", "set_a", "set_b")
+DIGEST = "doc_id long, content long, n_shingles long, set_a long, set_b long, bands array<long>"
 
 
 def shingle_sets(texts: list[str | None], size: int) -> tuple[np.ndarray, np.ndarray]:
@@ -67,8 +71,15 @@ def band_count(percent: int, rows: int, missed: float = MISSED) -> int:
     return math.ceil(math.log(missed) / math.log1p(-((percent / 100) ** rows)))
 
 
+def fingerprints(elements: np.ndarray, sizes: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Two sums over each set, which equal sets share."""
+    ends = np.r_[0, np.cumsum(sizes)]
+    sums = [np.r_[np.uint64(0), np.cumsum(x)] for x in (elements, mix(elements ^ np.uint64(0x2545F4914F6CDD1D)))]
+    return tuple((x[ends[1:]] - x[ends[:-1]]).astype(np.int64) for x in sums)
+
+
 def digests(documents: DataFrame, shingle_words: int, percent: int, rows: int) -> DataFrame:
-    """Per row: set size, fingerprint of the set, band hashes."""
+    """Per row (doc_id, content, text): set size, fingerprint of the set, band hashes."""
     places = rows * band_count(percent, rows)
 
     def digest(frames):
@@ -79,28 +90,27 @@ def digests(documents: DataFrame, shingle_words: int, percent: int, rows: int) -
                 keys = bands(signatures(elements, sizes[full], places), rows).astype(np.int64)
                 row = iter(keys)
                 listed = [next(row) if f else [] for f in full.tolist()]
-                ends = np.r_[0, np.cumsum(sizes)]
-                sums = [np.r_[np.uint64(0), np.cumsum(x)] for x in (elements, mix(elements ^ np.uint64(0x2545F4914F6CDD1D)))]
-                yield pd.DataFrame(
-                    {"doc_id": frame["doc_id"], "n_shingles": sizes, "set_a": (sums[0][ends[1:]] - sums[0][ends[:-1]]).astype(np.int64),
-                     "set_b": (sums[1][ends[1:]] - sums[1][ends[:-1]]).astype(np.int64), "bands": listed}
-                )
+                set_a, set_b = fingerprints(elements, sizes)
+                yield pd.DataFrame({"doc_id": frame["doc_id"], "content": frame["content"], "n_shingles": sizes, "set_a": set_a, "set_b": set_b, "bands": listed})
 
     return documents.mapInPandas(digest, DIGEST)
 
 
 def sets_of(documents: DataFrame, nodes: DataFrame, shingle_words: int) -> DataFrame:
-    """(node, n, shingles) of the nodes, read from their documents again."""
+    """(node, n, shingles) of the nodes (node, doc_id, set keys), read from their documents again."""
 
     def build(frames):
         with np.errstate(over="ignore"):
             for frame in chunks(frames):
                 elements, sizes = shingle_sets(frame["text"].tolist(), shingle_words)
-                ends = np.cumsum(sizes)
-                yield pd.DataFrame({"node": frame["doc_id"], "n": sizes, "shingles": [x for x in np.split(elements.astype(np.int64), ends[:-1])]})
+                set_a, set_b = fingerprints(elements, sizes)
+                sets = list(np.split(elements.astype(np.int64), np.cumsum(sizes)[:-1]))
+                yield pd.DataFrame({"doc_id": frame["doc_id"], "n_shingles": sizes, "set_a": set_a, "set_b": set_b, "shingles": sets})
 
-    rows = documents.join(nodes.select(F.col("node").alias("doc_id")), "doc_id", "left_semi").select("doc_id", "text")
-    return rows.mapInPandas(build, "node long, n long, shingles array<long>").where("n > 0").dropDuplicates(["node"])
+    rows = documents.join(nodes.select("doc_id").distinct(), "doc_id", "left_semi").select("doc_id", "text")
+    built = rows.mapInPandas(build, "doc_id long, n_shingles long, set_a long, set_b long, shingles array<long>").where("n_shingles > 0")
+    # A node may have several rows, all with the same set.
+    return built.join(nodes, ["doc_id", *KEYS]).groupBy("node").agg(F.max("n_shingles").alias("n"), F.max("shingles").alias("shingles"))
 
 
 def similar(shared: Column, a: Column, b: Column, percent: int) -> Column:
@@ -154,25 +164,19 @@ def prefix_pairs(open_nodes: DataFrame, sets: DataFrame, percent: int) -> DataFr
     return met.select(F.least("node", "b").alias("a"), F.greatest("node", "b").alias("b")).distinct()
 
 
-def near_duplicates(
-    documents: DataFrame,
-    shingle_words: int = SHINGLE_WORDS,
-    percent: int = PERCENT,
-    band_rows: int = BAND_ROWS,
-    doc_id: str = "doc_id",
-    text: str = "text",
-) -> DataFrame:
-    """One row per document: doc_id, n_shingles, component_id (least id of its group), kept."""
-    chosen = documents.select(F.col(doc_id).cast("long").alias("doc_id"), F.col(text).alias("text"))
+def labelled(documents: DataFrame, shingle_words: int, percent: int, band_rows: int, doc_id: str, text: str) -> DataFrame:
+    """One row per document: doc_id, content (hash of the text), n_shingles, component_id, and whether it is the one of its group that stays."""
+    chosen = documents.select(F.col(doc_id).cast("long").alias("doc_id"), F.xxhash64(text).alias("content"), F.col(text).alias("text"))
     digest = stored(digests(chosen, shingle_words, percent, band_rows), "digests")
     usable = digest.where("doc_id IS NOT NULL AND n_shingles > 0")
-    keys = ("n_shingles", "set_a", "set_b")
-    classes = stored(usable.groupBy(*keys).agg(F.min("doc_id").alias("node")), "classes")
-    first = usable.join(classes.select(F.col("node").alias("doc_id"), *keys), ["doc_id", *keys], "left_semi")
-    banded = first.select(F.col("doc_id").alias("node"), F.col("n_shingles").alias("n"), F.explode("bands").alias("band")).distinct()
+    classes = usable.groupBy(*KEYS).agg(F.min(F.struct("doc_id", "content")).alias("first"))
+    classes = stored(classes.select(*KEYS, "first", F.shiftrightunsigned(F.xxhash64(*KEYS), 1).alias("node")), "classes")
+    named = classes.select(F.col("first.doc_id").alias("doc_id"), "node", *KEYS)
+    first = usable.join(named, ["doc_id", *KEYS])
+    banded = first.select("node", F.col("n_shingles").alias("n"), F.explode("bands").alias("band")).distinct()
     members, pairs = hub_pairs(banded, percent)
     pairs = stored(pairs, "hub-pairs")
-    sets = stored(sets_of(chosen, members.select("node").distinct(), shingle_words), "sets")
+    sets = stored(sets_of(chosen, named.join(members.select("node").distinct(), "node"), shingle_words), "sets")
     links = verified(pairs, sets, percent)
     found = stored(components(links), "components")
 
@@ -184,16 +188,49 @@ def near_duplicates(
     joined = more.join(of.select(F.col("node").alias("a"), F.col("component").alias("c_a")), "a").join(of.select(F.col("node").alias("b"), F.col("component").alias("c_b")), "b")
     merged = components(joined.select(F.col("c_a").alias("a"), F.col("c_b").alias("b"))).select(F.col("node").alias("component"), F.col("component").alias("whole"))
     alone = open_nodes.select("node", "component").unionByName(found).distinct()
-    final = alone.join(merged, "component", "left").select("node", F.coalesce("whole", "component").alias("component_id"))
-    groups = classes.join(final, "node", "left").select(*keys, F.coalesce("component_id", "node").alias("group"))
-    rows = digest.select("doc_id", *keys).join(groups, list(keys), "left")
-    component = F.when((F.col("n_shingles") > 0) & F.col("doc_id").isNotNull(), F.col("group")).otherwise(F.col("doc_id"))
-    return rows.select("doc_id", "n_shingles", component.alias("component_id")).withColumn("kept", F.col("doc_id").eqNullSafe(F.col("component_id")))
-
-
-def without_near_duplicates(documents: DataFrame, doc_id: str = "doc_id", **settings) -> DataFrame:
-    """The documents, all columns, one of each group; of rows with one id, one."""
-    dropped = near_duplicates(documents, doc_id=doc_id, **settings).where("NOT kept").select(F.col("doc_id").alias("_dropped")).distinct()
-    dropped = stored(dropped, "dropped")
-    named = documents.where(F.col(doc_id).isNotNull()).join(dropped, F.col(doc_id) == F.col("_dropped"), "left_anti").dropDuplicates([doc_id])
-    return named.unionByName(documents.where(F.col(doc_id).isNull()))
+    final = alone.join(merged, "component", "left").select("node", F.coalesce("whole", "component").alias("group"))
+    grouped = stored(classes.join(final, "node", "left").select(*KEYS, "first", F.coalesce("group", "node").alias("group")), "groups")
+    heads = grouped.groupBy("group").agg(F.min("first").alias("head"))
+    groups = grouped.join(heads, "group").select(*KEYS, "head")
+    rows = digest.select("doc_id", "content", *KEYS).join(groups, list(KEYS), "left")
+    linked = (F.col("n_shingles") > 0) & F.col("doc_id").isNotNull()
+    head = F.when(linked, F.col("head")).otherwise(F.struct("doc_id", "content"))
+    stays = F.struct("doc_id", "content").eqNullSafe(head)
+    return rows.select("doc_id", "content", "n_shingles", head["doc_id"].alias("component_id"), stays.alias("stays"))
+
+
+def near_duplicates(
+    documents: DataFrame,
+    shingle_words: int = SHINGLE_WORDS,
+    percent: int = PERCENT,
+    band_rows: int = BAND_ROWS,
+    doc_id: str = "doc_id",
+    text: str = "text",
+) -> DataFrame:
+    """One row per document: doc_id, n_shingles, component_id (least id of its group), kept."""
+    rows = labelled(documents, shingle_words, percent, band_rows, doc_id, text)
+    return rows.select("doc_id", "n_shingles", "component_id", F.col("doc_id").eqNullSafe(F.col("component_id")).alias("kept"))
+
+
+def without_near_duplicates(
+    documents: DataFrame,
+    shingle_words: int = SHINGLE_WORDS,
+    percent: int = PERCENT,
+    band_rows: int = BAND_ROWS,
+    doc_id: str = "doc_id",
+    text: str = "text",
+) -> DataFrame:
+    """The documents, all columns, one of each group: rows go, not ids, so no text goes with another one's copy.
+
+    Of rows with one id and one text, one stays, the least by a hash of all its columns. Rows without an id stay.
+    """
+    rows = labelled(documents, shingle_words, percent, band_rows, doc_id, text)
+    dropped = stored(rows.where("doc_id IS NOT NULL AND NOT stays").select("doc_id", "content").distinct(), "dropped")
+    names = documents.columns
+    # All columns travel in one, so that no name of theirs meets one of ours.
+    held = documents.select(F.col(doc_id).cast("long").alias("doc_id"), F.xxhash64(text).alias("content"), F.struct(*[F.col(f"`{c}`") for c in names]).alias("row"))
+    kept = held.where("doc_id IS NOT NULL").join(dropped, ["doc_id", "content"], "left_anti")
+    told = [x for c in names for x in (F.col(f"row.`{c}`"), F.col(f"row.`{c}`").isNull())]
+    best = Window.partitionBy("doc_id", "content").orderBy(F.xxhash64(*told))
+    one = kept.withColumn("place", F.row_number().over(best)).where("place = 1")
+    return one.select("row.*").unionByName(documents.where(F.col(doc_id).isNull()))
