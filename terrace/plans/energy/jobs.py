@@ -14,12 +14,12 @@ from pyspark.sql import types as T
 
 from terrace.plans.energy import ingest, monitoring, reports, values as v
 from terrace.plans.energy.catalog import CLEAN_TABLES, METRIC_TABLES
-from terrace.plans.runner import refresh_metrics
+from terrace.plans.runner import published, refresh_changed
 from terrace.plans.spec import CleanTable
 from terrace.sources.audit import recorded_refresh
 from terrace.sources.files import path_exists
 from terrace.sources.scans import read_stream
-from terrace.sources.sinks import Snapshot, export_csv
+from terrace.sources.sinks import export_csv
 from terrace.streaming.apply import IncrementalTable
 
 EVENTS = "eventos"
@@ -54,11 +54,11 @@ def update_clean(
 def update_metrics(spark: SparkSession, clean_root: str, metric_root: str) -> dict[str, DataFrame]:
     states = {table.name: clean_state(clean_root, table) for table in CLEAN_TABLES}
     with recorded_refresh(spark, f"{clean_root.rstrip('/')}/{EVENTS}", "gold"):
-        return refresh_metrics(METRIC_TABLES, lambda name: states[name].current(spark), metric_root)
+        return refresh_changed(spark, METRIC_TABLES, states, metric_root)
 
 
 def metric_tables(spark: SparkSession, metric_root: str) -> dict[str, DataFrame]:
-    return {t.name: Snapshot(f"{metric_root.rstrip('/')}/{t.name}").read(spark) for t in METRIC_TABLES}
+    return {t.name: published(spark, t, metric_root) for t in METRIC_TABLES}
 
 
 def business_datasets(spark: SparkSession, metric_root: str, today: Column | None = None) -> dict[str, DataFrame]:

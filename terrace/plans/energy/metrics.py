@@ -203,6 +203,7 @@ METRIC_TABLES = (
         compute=monthly_capacity_factor,
         columns=v.MONTHLY_CAPACITY_COLUMNS,
         clean_inputs=("fator_capacidade",),
+        month_column="mes",
     ),
     MetricTable(
         name="restricao_geracao_diaria",
@@ -211,6 +212,7 @@ METRIC_TABLES = (
         compute=daily_shortfall,
         columns=v.DAILY_SHORTFALL_COLUMNS,
         clean_inputs=("previsao_programado",),
+        month_column="data",
     ),
     MetricTable(
         name="restricao_geracao_por_usina",
@@ -219,6 +221,7 @@ METRIC_TABLES = (
         compute=plant_shortfall,
         columns=v.PLANT_SHORTFALL_COLUMNS,
         clean_inputs=("previsao_programado",),
+        month_column="mes",
     ),
     MetricTable(
         name="precisao_programacao_mensal",
@@ -227,6 +230,7 @@ METRIC_TABLES = (
         compute=schedule_error,
         columns=v.SCHEDULE_ERROR_COLUMNS,
         clean_inputs=("fator_capacidade",),
+        month_column="mes",
     ),
     MetricTable(
         name="clima_x_geracao_horaria",
@@ -235,6 +239,7 @@ METRIC_TABLES = (
         compute=weather_and_generation,
         columns=v.WEATHER_GENERATION_COLUMNS,
         clean_inputs=("fator_capacidade", "clima_observado"),
+        month_column="data_hora",
     ),
     MetricTable(
         name="curva_de_potencia",
@@ -259,6 +264,7 @@ METRIC_TABLES = (
         compute=weather_accuracy,
         columns=v.WEATHER_ACCURACY_COLUMNS,
         clean_inputs=("clima_previsao", "clima_observado"),
+        month_column="mes",
     ),
     MetricTable(
         name="carga_x_temperatura",
@@ -267,5 +273,6 @@ METRIC_TABLES = (
         compute=load_and_temperature,
         columns=v.LOAD_TEMPERATURE_COLUMNS,
         clean_inputs=("carga_energia", "clima_observado"),
+        month_column="data",
     ),
 )

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from collections.abc import Callable, Sequence
+from collections.abc import Callable, Mapping, Sequence
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -18,7 +18,8 @@ from terrace.plans.spec import (
     in_dependency_order,
 )
 from terrace.session import require_utc
-from terrace.sources.sinks import Snapshot
+from terrace.sources.sinks import MonthlySnapshot, Snapshot
+from terrace.streaming.apply import IncrementalTable
 
 
 def clean_batch(spark: SparkSession, table: CleanTable, *raw: DataFrame) -> dict[str, DataFrame]:
@@ -65,3 +66,45 @@ def refresh_metrics(
         check_schema(result, table.columns, table.name)
         made[table.name] = Snapshot(f"{root.rstrip('/')}/{table.name}").refresh(result)
     return made
+
+
+def published(spark: SparkSession, table: MetricTable, root: str) -> DataFrame:
+    """A metric table as ``refresh_changed`` last left it."""
+    path = f"{root.rstrip('/')}/{table.name}"
+    return (Snapshot(path) if table.month_column is None else MonthlySnapshot(path, table.month_column)).read(spark)
+
+
+def refresh_changed(
+    spark: SparkSession, tables: Sequence[MetricTable], states: Mapping[str, IncrementalTable], root: str
+) -> dict[str, DataFrame]:
+    """Bring published metric tables up to date, reading only months of clean tables that changed since.
+
+    A table whose rows belong to one month each is recomputed for the months in which one of its
+    inputs changed, so a replaced value leaves no trace. A table that gathers months reads
+    other metric tables, whose rows are already summed up, and only if one of them was refreshed.
+    """
+    made: dict[str, DataFrame] = {}
+    refreshed: set[str] = set()
+    for table in in_dependency_order(tables):
+        path = f"{root.rstrip('/')}/{table.name}"
+        if table.month_column is None:
+            if not refreshed.isdisjoint(table.metric_inputs) or table.clean_inputs or not Snapshot(path).exists(spark):
+                result = table.compute(*[states[n].current(spark) for n in table.clean_inputs], *[made[n] for n in table.metric_inputs])
+                check_schema(result, table.columns, table.name)
+                Snapshot(path).refresh(result)
+                refreshed.add(table.name)
+        else:
+            if table.metric_inputs:
+                raise ValueError(f"{table.name}: a table refreshed by month reads clean tables only")
+            target = MonthlySnapshot(path, table.month_column)
+            now = {name: states[name].months(spark) for name in table.clean_inputs}
+            before = target.seen(spark)
+            marks = [(now[n], (before or {}).get(n, {})) for n in now]
+            changed = sorted({m for new, old in marks for m in {*new, *old} if new.get(m) != old.get(m)})
+            if changed or before is None:
+                result = table.compute(*[states[n].current(spark, changed) for n in table.clean_inputs])
+                check_schema(result, table.columns, table.name)
+                target.refresh(result, changed, now)
+                refreshed.add(table.name)
+        made[table.name] = published(spark, table, root)
+    return made

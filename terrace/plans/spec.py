@@ -109,6 +109,9 @@ class MetricTable:
     columns: tuple[Column, ...]
     clean_inputs: tuple[str, ...] = ()
     metric_inputs: tuple[str, ...] = ()
+    # Column whose month is that of all input rows behind a row: a refresh recomputes
+    # only months whose inputs changed. None if rows gather several months.
+    month_column: str | None = None
 
     def objects(self) -> dict[str, tuple[Column, ...]]:
         return {self.name: self.columns}

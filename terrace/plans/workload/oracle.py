@@ -491,3 +491,6 @@ SELECT n_regionkey, n_name, round(total, 6) AS total, round(x, 6) AS x, round(y,
 SELECT count(*) AS rows, count(*) FILTER (gap > 0.025) AS mismatches, count(*) FILTER (gap IS NULL) AS not_comparable,
   round(max(gap), 6) AS largest_gap FROM l""",
 }
+
+# Refreshing months gives what one computation over all rows gives.
+ORACLE["metrics_by_changed_months"] = ORACLE["capacity_factor_monthly"]

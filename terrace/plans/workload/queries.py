@@ -18,7 +18,7 @@ from terrace.operators import difference, history, metrics as m, profile, qualit
 from terrace.operators.flatten import explode_series
 from terrace.plans.energy import clean, monitoring, reports, values as v
 from terrace.plans.energy.catalog import METRIC_TABLES
-from terrace.plans.runner import compute_metrics
+from terrace.plans.runner import compute_metrics, refresh_changed
 from terrace.plans.spec import SEQUENCE, VERSION_COLUMNS, VIOLATED
 from terrace.plans.workload import sources as s
 from terrace.session import scratch_path
@@ -853,3 +853,17 @@ def stream_keyed_state(spark, sf_dir):
     keyed.run_keyed(keyed.version_changes(stream, keys, "ts", ["level"]), told, scratch_path(spark, "keyed-checkpoint"))
     made = keyed.versions_of(spark.read.parquet(told), keys, "ts")
     return made.withColumnsRenamed({history.START_AT: "start_at", history.END_AT: "end_at"})
+
+
+@exact
+def metrics_by_changed_months(spark, sf_dir):
+    """Capacity rows in two batches, the second with rows of one year only; metrics are refreshed after each."""
+    state = IncrementalTable(clean.CAPACITY, scratch_path(spark, "state"))
+    rows = clean.CAPACITY.standardize(s.raw_capacity(spark, sf_dir))
+    late = F.coalesce((F.year("data_hora") == 1997) & (F.pmod(F.hash("id_ons", "data_hora"), F.lit(3)) == 0), F.lit(False))
+    wanted = [t for t in METRIC_TABLES if t.name in ("aproveitamento_mensal", "precisao_programacao_mensal")]
+    root = scratch_path(spark, "metrics")
+    for number, batch in enumerate((rows.filter(~late), rows.filter(late))):
+        state.apply(batch, number)
+        made = refresh_changed(spark, wanted, {"fator_capacidade": state}, root)
+    return made["aproveitamento_mensal"]

@@ -89,6 +89,9 @@ class Snapshot:
     def _pointers(self, spark: SparkSession) -> list[str]:
         return [n for n in list_names(spark, f"{self.root}/_published") if not n.endswith(".tmp")]
 
+    def exists(self, spark: SparkSession) -> bool:
+        return bool(self._pointers(spark))
+
     def live_path(self, spark: SparkSession) -> str:
         pointers = self._pointers(spark)
         if not pointers:
@@ -108,6 +111,52 @@ class Snapshot:
         return self.read(spark)
 
 
+class MonthlySnapshot:
+    """Published table whose rows belong to months: a refresh writes some months, the others stay as they are.
+
+    One small file names the folder in force for each month, and what the months were computed from.
+    """
+
+    PART = "month_part"
+
+    def __init__(self, root: str, month_column: str):
+        self.root, self.month_column = root.rstrip("/"), month_column
+
+    def _published(self, spark: SparkSession) -> tuple[int, dict]:
+        names = [n for n in list_names(spark, f"{self.root}/_published") if not n.endswith(".tmp")]
+        return (int(names[-1]), json.loads(read_small(spark, f"{self.root}/_published/{names[-1]}"))) if names else (-1, {})
+
+    def seen(self, spark: SparkSession) -> dict | None:
+        """What the last refresh was given, None before the first."""
+        return self._published(spark)[1].get("seen")
+
+    def read(self, spark: SparkSession) -> DataFrame:
+        number, told = self._published(spark)
+        if number < 0:
+            raise FileNotFoundError(f"nothing published under {self.root}")
+        schema = T.StructType.fromJson(told["schema"])
+        paths = [f"{self.root}/{folder}/{self.PART}={month}" for month, folder in told["folders"].items()]
+        if not paths:
+            return spark.createDataFrame([], schema)
+        # The folders are chosen by name, so no partition columns are inferred.
+        return spark.read.schema(schema).option("recursiveFileLookup", "true").parquet(*paths)
+
+    def refresh(self, df: DataFrame, months: Sequence[str], seen: dict) -> DataFrame:
+        """Replace the rows of ``months`` by those of ``df``; a month without rows is gone."""
+        spark = df.sparkSession
+        number, told = self._published(spark)
+        folder = f"v={number + 1:012d}-{uuid.uuid4().hex[:12]}"
+        month = F.coalesce(F.trunc(F.col(self.month_column), "month").cast("string"), F.lit("none"))
+        rows = df.withColumn(self.PART, month).filter(F.col(self.PART).isin(list(months)))
+        rows.hint("rebalance", self.PART).write.partitionBy(self.PART).parquet(f"{self.root}/{folder}")
+        folders = {m: f for m, f in told.get("folders", {}).items() if m not in months}
+        written = [n for n in list_names(spark, f"{self.root}/{folder}") if n.startswith(f"{self.PART}=")]
+        folders |= {n.split("=", 1)[1]: folder for n in written}
+        text = json.dumps({"folders": folders, "schema": df.schema.jsonValue(), "seen": seen})
+        publish_small(spark, f"{self.root}/_published/{number + 1:012d}", text)
+        return self.read(spark)
+
+
 def export_csv(df: DataFrame, path: str) -> None:
     df.write.mode("overwrite").option("header", True).csv(path)
 

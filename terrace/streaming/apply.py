@@ -20,7 +20,7 @@ from __future__ import annotations
 
 import json
 import uuid
-from collections.abc import Sequence
+from collections.abc import Collection, Sequence
 from dataclasses import dataclass, field
 
 from pyspark.sql import DataFrame, SparkSession
@@ -60,6 +60,10 @@ class Manifest:
     parts: dict[str, int] = field(default_factory=dict)
 
 
+def _month_of(part: str) -> str:
+    return part.split("=", 1)[1].rsplit(".", 1)[0]
+
+
 class CheckpointLost(Exception):
     """The state is ahead of a checkpoint that no longer exists."""
 
@@ -94,15 +98,24 @@ class IncrementalTable:
         # The folders are already chosen by name, so no partition columns are inferred.
         return spark.read.schema(schema).option("recursiveFileLookup", "true").parquet(*paths)
 
-    def _state(self, spark: SparkSession) -> DataFrame:
+    def months(self, spark: SparkSession) -> dict[str, str]:
+        """Each month of the key, with a mark that changes whenever a row of the month may have."""
+        base, out = self._generation(spark), {}
+        for part, batch in sorted(self._manifest(spark, base).parts.items()):
+            month, bucket = _month_of(part), part.rsplit(".", 1)[1]
+            out[month] = f"{out.get(month, base.rsplit('/', 1)[1])} {bucket}:{batch}"
+        return out
+
+    def _state(self, spark: SparkSession, months: Collection[str] | None = None) -> DataFrame:
         base = self._generation(spark)
         live = self._manifest(spark, base).parts
+        paths = [f"{base}/state/batch={b}/{p}" for p, b in live.items() if months is None or _month_of(p) in months]
         cols = (*self.table.stored, *HISTORY_COLUMNS, Column(NUMBER, "int"), Column(RUN_ENDS, "boolean"))
-        return self._read(spark, [f"{base}/state/batch={b}/{p}" for p, b in live.items()], cols)
+        return self._read(spark, paths, cols)
 
-    def current(self, spark: SparkSession) -> DataFrame:
-        """Row in force per key: the last one of its timeline, which no other ends."""
-        return self._state(spark).filter(F.col(history.END_AT).isNull() & F.col(RUN_ENDS)).select(*names_of(self.table.stored))
+    def current(self, spark: SparkSession, months: Collection[str] | None = None) -> DataFrame:
+        """Row in force per key (the last one of its timeline, which no other ends), of some months or of all."""
+        return self._state(spark, months).filter(F.col(history.END_AT).isNull() & F.col(RUN_ENDS)).select(*names_of(self.table.stored))
 
     def _numbered_history(self, spark: SparkSession) -> DataFrame:
         versions = self._state(spark).filter(RUN_ENDS).drop(RUN_ENDS)
