@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from itertools import combinations
+
 # --- the raw layouts and clean tables as common table expressions ------------------------------
 
 REGION = "CASE r_name WHEN 'ASIA' THEN 'NE' WHEN 'AFRICA' THEN 'N' WHEN 'AMERICA' THEN 'S' WHEN 'EUROPE' THEN 'SE' ELSE 'XX' END"
@@ -494,3 +496,23 @@ SELECT count(*) AS rows, count(*) FILTER (gap > 0.025) AS mismatches, count(*) F
 
 # Refreshing months gives what one computation over all rows gives.
 ORACLE["metrics_by_changed_months"] = ORACLE["capacity_factor_monthly"]
+
+
+def _dependencies(columns: list[str], source: str) -> str:
+    """All least determinants of one or two columns, by comparing distinct counts."""
+    single, pair = "(SELECT DISTINCT {} FROM t)", "SELECT '{}' AS determinant, '{}' AS dependent, (SELECT count(*) FROM {}) AS classes WHERE {}"
+    holds = lambda x, a: f"(SELECT count(*) FROM {single.format(', '.join(x))}) = (SELECT count(*) FROM {single.format(', '.join([*x, a]))})"
+    parts = []
+    for size in (1, 2):
+        for x in combinations(sorted(columns), size):
+            for a in sorted(set(columns) - set(x)):
+                least = "" if size == 1 else "".join(f" AND NOT {holds([one], a)}" for one in x)
+                parts.append(pair.format(",".join(x), a, single.format(", ".join(x)), holds(x, a) + least))
+    return f"WITH t AS ({source}) " + " UNION ALL ".join(parts)
+
+
+ORACLE["column_dependencies"] = _dependencies(
+    ["c_custkey", "c_nationkey", "c_mktsegment", "n_name", "n_regionkey"], "SELECT * FROM customer JOIN nation ON c_nationkey = n_nationkey"
+)
+ORACLE["quantiles_of_months"] = """SELECT event_type, CAST(share AS DOUBLE) AS share, count(*) AS rows, true AS within
+FROM events, (VALUES (0.25), (0.5), (0.75)) AS shares(share) WHERE value IS NOT NULL GROUP BY event_type, share"""

@@ -14,7 +14,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from terrace.functions import dates, nested, numeric, text
-from terrace.operators import difference, history, metrics as m, profile, quality
+from terrace.operators import dependencies, difference, history, metrics as m, profile, quality, sketches
 from terrace.operators.flatten import explode_series
 from terrace.plans.energy import clean, monitoring, reports, values as v
 from terrace.plans.energy.catalog import METRIC_TABLES
@@ -805,6 +805,23 @@ def derived_check(spark, sf_dir):
     return profile.derived_check(lines, "stated", F.col("l_quantity") * (1 - F.col("l_discount")) / 50, 0.025)
 
 
+@query
+def column_dependencies(spark, sf_dir):
+    """Customers with their nation and region in one flat table."""
+    customers, nations = s.table(spark, sf_dir, "customer"), s.table(spark, sf_dir, "nation")
+    flat = customers.join(nations, F.col("c_nationkey") == F.col("n_nationkey"))
+    return dependencies.column_dependencies(flat, ["c_custkey", "c_nationkey", "c_mktsegment", "n_name", "n_regionkey"])
+
+
+@query
+def quantiles_of_months(spark, sf_dir):
+    """Quantiles per kind of event from sketches of its months, with whether their true ranks are within 2 %."""
+    rows = events(spark, sf_dir).withColumn("month", F.trunc("ts", "month"))
+    whole = sketches.merged_sketches(sketches.quantile_sketches(rows, ["event_type", "month"], "value"), ["event_type"])
+    told = sketches.rank_errors(rows, sketches.quantiles(whole, ["event_type"], [0.25, 0.5, 0.75]), ["event_type"], "value")
+    return told.select("event_type", "share", "rows", (F.col("rank_error") <= 0.02).alias("within"))
+
+
 # --- incremental upkeep -----------------------------------------------------------------------
 
 
