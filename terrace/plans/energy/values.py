@@ -277,7 +277,11 @@ SCHEDULE_WARN = {
     "valores_numericos": "previsao_mwmed IS NOT NULL AND programado_mwmed IS NOT NULL",
     "valores_nao_negativos": "previsao_mwmed >= 0 AND programado_mwmed >= 0",
 }
-WEATHER_DROP = {"chave_presente": "ponto_id IS NOT NULL AND data_hora IS NOT NULL"}
+WEATHER_DROP = {
+    "chave_presente": "ponto_id IS NOT NULL AND data_hora IS NOT NULL",
+    # A response that is no JSON, or an error message, gives neither hours nor a grid point.
+    "resposta_legivel": "data_hora IS NOT NULL OR latitude_grade IS NOT NULL OR longitude_grade IS NOT NULL",
+}
 FORECAST_DROP = {**WEATHER_DROP, "emissao_presente": "data_emissao IS NOT NULL"}
 WEATHER_WARN = {
     "temperatura_plausivel": "temperatura_c BETWEEN 5 AND 48",
