@@ -252,6 +252,34 @@ def _profile(source: str, columns: tuple[str, ...], not_numbers: set[str]) -> st
     )
 
 
+FORECAST_HOURS = _with(FORECAST) + f"""SELECT ponto_id, uf, tipo_ponto, CAST(dia - horizonte_dias AS DATE) AS data_emissao,
+  dia AS data_prevista, horizonte_dias, CASE WHEN tipo_ponto = 'solar' AND horizonte_dias = 1 THEN 'previsoes_anteriores' ELSE 'coleta_diaria' END AS origem,
+  data_hora, {WEATHER}, {BLANK_WEATHER},
+  make_timestamp(max(newest) OVER (PARTITION BY ponto_id, dia, horizonte_dias)) AS ingerido_em FROM fc"""
+UNREADABLE = "answered AS (SELECT *, max(newest) OVER (PARTITION BY ponto_id, dia) AS n FROM obs)"
+
+
+def _schedule_object(name: str, source: str, last: str = "ingerido_em") -> str:
+    return f"""SELECT 'previsao_programado{name}' AS object, count(*) AS rows, count(DISTINCT (data, patamar, codigo_usina)) AS keys,
+  max({last}) AS last, NULL::BIGINT AS failed FROM {source}"""
+
+
+def _schedule_rule(kind: str, rule: str, source: str, failed: str) -> str:
+    return f"""SELECT 'previsao_programado_regras {kind} {rule}', count(*), NULL, NULL, count(*) FILTER ({failed}) FROM {source}"""
+
+
+SCHEDULE_OBJECTS = " UNION ALL ".join((
+    _schedule_object("", "sch"),
+    _schedule_object("_quarentena", "(SELECT * FROM sch_all WHERE patamar > 48)"),
+    _schedule_object("_historico_cdc", "hist"),
+    _schedule_object("_versoes", "hist"),
+    _schedule_rule("drop", "chave_presente", "sch_all", "data IS NULL OR codigo_usina IS NULL"),
+    _schedule_rule("drop", "patamar_valido", "sch_all", "NOT coalesce(patamar BETWEEN 1 AND 48, false)"),
+    _schedule_rule("warn", "valores_numericos", "sch_ok", "previsao_mwmed IS NULL OR programado_mwmed IS NULL"),
+    _schedule_rule("warn", "valores_nao_negativos", "sch_ok", "NOT coalesce(previsao_mwmed >= 0 AND programado_mwmed >= 0, true)"),
+))
+
+
 ORACLE: dict[str, str] = {
     "load_current": _with(LOAD) + "SELECT * FROM load_now",
     "load_quarantine": _with(LOAD) + LOAD_HELD,
@@ -262,6 +290,36 @@ ORACLE: dict[str, str] = {
     "stream_quarantine": _with(LOAD) + LOAD_HELD,
     "stream_rule_counts": LOAD_COUNTS,
     "stream_versions": LOAD_VERSIONS,
+    "stream_full_refresh": LOAD_VERSIONS,
+    "stream_two_sources": FORECAST_HOURS,
+    "clean_batch_objects": _with(SCHEDULE).rstrip() + ",\n" + _history(
+        "sch_ok", "data, patamar, codigo_usina", "ingerido_em", "previsao_mwmed, programado_mwmed",
+        "previsao_mwmed DESC NULLS LAST, programado_mwmed DESC",
+        SCHEDULE_OBJECTS,
+    ),
+    "unreadable_responses": _with(OBSERVED, UNREADABLE) + """SELECT ponto_id, uf, tipo_ponto, NULL::TIMESTAMP AS data_hora,
+  NULL::DOUBLE AS temperatura_c, NULL::DOUBLE AS latitude_grade, make_timestamp(n) AS ingerido_em,
+  'chave_presente,resposta_legivel' AS regras_violadas FROM (SELECT DISTINCT ponto_id, uf, tipo_ponto, dia, n FROM answered) WHERE n % 5 < 2
+UNION ALL SELECT ponto_id, uf, tipo_ponto, NULL, round(temperatura_c, 6), -11.5, make_timestamp(n), 'chave_presente'
+  FROM answered WHERE n % 5 = 2 AND hour(data_hora) BETWEEN 1 AND 4""",
+    "contract_checks": _with(OBSERVED, FORECAST) + " UNION ALL ".join(
+        f"""SELECT '{name}' AS "table", count(*) AS rows, true AS whole, false AS short, false AS other FROM {source}"""
+        for name, source in (
+            ("carga_energia", "orders"), ("geracao_usina", f"({PLACES})"), ("fator_capacidade", f"({PLACES})"),
+            ("previsao_programado", "lineitem"), ("clima_observado", "obs"), ("clima_previsao", "fc"),
+        )
+    ),
+    "documented_columns": _with(LOAD) + " UNION ALL ".join(
+        f"""SELECT 'silver' AS layer, 'carga_energia' AS "table", CAST({position} AS INTEGER) AS position, '{name}' AS "column",
+  '{kind}' AS type, true AS documented, count(*) AS rows, count(*) - count({name}) AS nulls FROM load_now"""
+        for position, (name, kind) in enumerate(
+            (("id_subsistema", "string"), ("subsistema", "string"), ("data", "date"), ("carga_mwmed", "double"), ("ingerido_em", "timestamp")), 1
+        )
+    ),
+    "backfill_job_mixed_types": f"""SELECT {HOUR} AS din_instante, ' ' || s_name AS nom_usina,
+  CASE l_returnflag WHEN 'A' THEN 'EOLIELÉTRICA' WHEN 'R' THEN ' Fotovoltaica' WHEN 'N' THEN 'TÉRMICA' END AS nom_tipousina,
+  l_quantity - 12 AS val_geracao, count(*) OVER () AS written, count(*) OVER () AS told
+FROM {PLACES} WHERE year({HOUR}) = 1997""",
     "generation_current": _with(GENERATION) + """SELECT * FROM gen_ok QUALIFY row_number() OVER (
   PARTITION BY data_hora, chave_usina ORDER BY ingerido_em DESC, tipo_usina DESC, combustivel DESC NULLS LAST,
   modalidade_operacao DESC, geracao_mwmed DESC) = 1""",
@@ -294,10 +352,7 @@ ORACLE: dict[str, str] = {
     ),
     "observed_hours": _with(OBSERVED) + f"""SELECT ponto_id, uf, tipo_ponto, data_hora, {WEATHER}, {BLANK_WEATHER},
   make_timestamp(max(newest) OVER (PARTITION BY ponto_id, dia)) AS ingerido_em FROM obs""",
-    "forecast_hours": _with(FORECAST) + f"""SELECT ponto_id, uf, tipo_ponto, CAST(dia - horizonte_dias AS DATE) AS data_emissao,
-  dia AS data_prevista, horizonte_dias, CASE WHEN tipo_ponto = 'solar' AND horizonte_dias = 1 THEN 'previsoes_anteriores' ELSE 'coleta_diaria' END AS origem,
-  data_hora, {WEATHER}, {BLANK_WEATHER},
-  make_timestamp(max(newest) OVER (PARTITION BY ponto_id, dia, horizonte_dias)) AS ingerido_em FROM fc""",
+    "forecast_hours": FORECAST_HOURS,
     "capacity_factor_monthly": _with(CAPACITY, MONTHLY) + f"""SELECT mes, uf, tipo_usina, usinas,
   geracao_verificada_mwh, geracao_programada_mwh,
   capacidade_mwh, {RATIO.format('geracao_verificada_mwh', 'capacidade_mwh')} AS fator_capacidade,

@@ -7,6 +7,7 @@ inexact doubles rounded to six places, instants as wall clock, arrays as text.
 from __future__ import annotations
 
 import datetime as dt
+import functools
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
@@ -16,10 +17,10 @@ from pyspark.sql import types as T
 from terrace.functions import dates, nested, numeric, text
 from terrace.operators import dependencies, difference, history, metrics as m, profile, quality, sketches
 from terrace.operators.flatten import explode_series
-from terrace.plans.energy import clean, monitoring, reports, values as v
+from terrace.plans.energy import clean, ingest, jobs, monitoring, reports, values as v
 from terrace.plans.energy.catalog import METRIC_TABLES
-from terrace.plans.runner import compute_metrics, refresh_changed
-from terrace.plans.spec import SEQUENCE, VERSION_COLUMNS, VIOLATED
+from terrace.plans.runner import clean_batch, compute_metrics, refresh_changed
+from terrace.plans.spec import SEQUENCE, VERSION_COLUMNS, VIOLATED, ContractError, check_definition, check_schema, dictionary
 from terrace.plans.workload import sources as s
 from terrace.session import scratch_path
 from terrace.sources import align, audit, backfill, scans, sinks
@@ -190,6 +191,67 @@ def forecast_hours(spark, sf_dir):
     return current(spark, sf_dir, "clima_previsao")
 
 
+# --- whole declarations: all objects of a table, contracts, dictionary --------------------------
+
+
+@query
+def clean_batch_objects(spark, sf_dir):
+    """All objects that one call makes of the schedule: rows, different keys and last ingestion of each; rows and failures of each rule."""
+    facts = []
+    for name, rows in clean_batch(spark, clean.SCHEDULE, s.raw_schedule(spark, sf_dir)).items():
+        last = next((c for c in (SEQUENCE, VERSION_COLUMNS[-1]) if c in rows.columns), None)
+        if last is not None:
+            keys = F.count_distinct(F.struct(*clean.SCHEDULE.key))
+            facts.append(rows.agg(F.lit(name).alias("object"), F.count("*").alias("rows"), keys.alias("keys"), F.max(last).alias("last"),
+                                  F.lit(None).cast("long").alias("failed")))
+        else:
+            facts.append(rows.select(F.concat_ws(" ", F.lit(name), "kind", "rule").alias("object"), (F.col("passed") + F.col("failed")).alias("rows"),
+                                     F.lit(None).cast("long").alias("keys"), F.lit(None).cast("timestamp").alias("last"), "failed"))
+    return functools.reduce(DataFrame.unionAll, facts)
+
+
+@query
+def unreadable_responses(spark, sf_dir):
+    """Observed responses of which some arrive cut off or as an error message: the quarantine tells them apart from bad keys."""
+    broken = F.unix_micros(INGEST) % 5
+    response = F.when(broken == 0, F.substring("raw_response", 1, 60)).when(broken == 1, F.lit('{"error": true, "reason": "limit"}'))
+    dated = F.when(broken == 2, F.regexp_replace("raw_response", "T0[1-4]:00", "T")).otherwise(F.col("raw_response"))
+    raw = s.raw_observed(spark, sf_dir).withColumn("raw_response", F.coalesce(response, dated))
+    return clean_batch(spark, clean.OBSERVED, raw)["clima_observado_quarentena"].select(
+        "ponto_id", "uf", "tipo_ponto", "data_hora", "temperatura_c", "latitude_grade", SEQUENCE, VIOLATED
+    )
+
+
+@query
+def contract_checks(spark, sf_dir):
+    """Each clean table against its declaration: as made, without a column, and with one of another type."""
+    checked = []
+    for name, (definition, _) in RAW.items():
+        check_definition(definition, spark)
+        made = standardized(spark, sf_dir, name)
+        first = definition.stored[0].name
+        shapes = {"whole": made, "short": made.drop(first), "other": made.withColumn(first, F.struct(first))}
+        for shape, rows in shapes.items():
+            try:
+                check_schema(rows, definition.stored, name)
+            except ContractError:
+                shapes[shape] = False
+            else:
+                shapes[shape] = True
+        checked.append(made.agg(F.lit(name).alias("table"), F.count("*").alias("rows"), *[F.lit(h).alias(shape) for shape, h in shapes.items()]))
+    return functools.reduce(DataFrame.unionAll, checked)
+
+
+@query
+def documented_columns(spark, sf_dir):
+    """The dictionary of the load table beside what its rows hold."""
+    told = dictionary(spark, [clean.LOAD]).filter(F.col("table") == clean.LOAD.name)
+    held = profile.column_profile(current(spark, sf_dir, clean.LOAD.name))
+    return told.join(held, "column").select(
+        "layer", "table", "position", "column", "type", (F.length("comment") > 0).alias("documented"), "rows", "nulls"
+    )
+
+
 # --- metric tables and business reports ---------------------------------------------------
 
 
@@ -860,6 +922,54 @@ def stream_rule_counts(spark, sf_dir):
     return counts.groupBy("table", "rule", "kind").agg(F.sum("passed").alias("passed"), F.sum("failed").alias("failed"))
 
 
+@query
+def stream_two_sources(spark, sf_dir):
+    """Captured and back-filled forecasts, JSON in two streams, feed one table."""
+    streams = []
+    for rows in s.raw_forecasts(spark, sf_dir):
+        landing = scratch_path(spark, "landing")
+        rows.repartition(4, F.hash(INGEST)).write.parquet(landing)
+        streams.append(scans.read_stream(spark, landing, spark.read.parquet(landing).schema, maxFilesPerTrigger="2"))
+    state = IncrementalTable(clean.FORECAST, scratch_path(spark, "state"))
+    state.run_available(spark, *streams)
+    return state.current(spark)
+
+
+@query
+def stream_full_refresh(spark, sf_dir):
+    """Raw load rows arrive in two appends and are applied; then the declared job rebuilds the table and takes the old one's place."""
+    raw_root, clean_root = scratch_path(spark, "raw"), scratch_path(spark, "clean")
+    raw = s.raw_load(spark, sf_dir)
+    early = F.pmod(F.hash(INGEST), F.lit(2)) == 0
+    for part in (raw.filter(early), raw.filter(~early)):
+        part.write.mode("append").parquet(ingest.raw_path(raw_root, clean.LOAD.raw_tables[0]))
+        jobs.update_clean(spark, raw_root, clean_root, [clean.LOAD])
+    jobs.update_clean(spark, raw_root, clean_root, [clean.LOAD], full=True)
+    return jobs.clean_state(clean_root, clean.LOAD).versions(spark)
+
+
+#: Days whose last closed months are the twelve of 1997.
+BACKFILL_DAYS = [dt.date(1997 + (m == 12), m % 12 + 1, 5) for m in range(1, 13)]
+
+
+@query
+def backfill_job_mixed_types(spark, sf_dir):
+    """A year of generation published by month: numbers in some files, texts in others; one job loads and audits all of them."""
+    landing, raw_root = scratch_path(spark, "landing"), scratch_path(spark, "raw")
+    rows = s.raw_generation(spark, sf_dir).drop(INGEST)
+    for month in backfill.closed_months_before(BACKFILL_DAYS):
+        own = rows.filter(backfill.in_months("din_instante", [month]))
+        kind = ("double", "string", "int")[month.month % 3]
+        file = v.FEEDS["geracao"][3].format(month)
+        own.withColumn("val_geracao", F.col("val_geracao").cast(kind)).write.parquet(f"{landing}/{file}")
+    written = ingest.load_months(spark, "geracao", landing, raw_root, BACKFILL_DAYS)
+    told = spark.read.parquet(ingest.audit_path(raw_root)).agg(F.sum("linhas_gravadas")).first()[0]
+    loaded = sinks.read_raw(spark, ingest.raw_path(raw_root, "ons.geracao_usina"))
+    return loaded.select(
+        "din_instante", "nom_usina", "nom_tipousina", "val_geracao", F.lit(written).cast("long").alias("written"), F.lit(told).cast("long").alias("told")
+    )
+
+
 @query
 def stream_keyed_state(spark, sf_dir):
     """Events arrive out of order in files; each key's versions are kept in state and changes are emitted."""

@@ -152,3 +152,28 @@ def test_a_lost_checkpoint_is_an_error_not_a_silent_skip(spark, tmp_path):
         state.run_available(spark, read_stream(spark, landing, schema))
     state.full_refresh(spark, read_stream(spark, landing, schema))
     check_against_batch(spark, state, raw_rows(spark, RAW, load_rows(5, 20)))
+
+
+def test_a_refresh_that_dies_leaves_the_live_table_and_is_not_continued(spark, tmp_path, monkeypatch):
+    landing, rows = str(tmp_path / "raw"), load_rows(8, 40)
+    raw_rows(spark, RAW, rows).repartition(4).write.parquet(landing)
+    schema = spark.read.parquet(landing).schema
+    stream = lambda: read_stream(spark, landing, schema, maxFilesPerTrigger="2")
+    state = IncrementalTable(clean.LOAD, str(tmp_path / "state"))
+    state.run_available(spark, stream())
+    live, whole = state._generation(spark), IncrementalTable._apply
+
+    def dying(self, batch, batch_id, base):
+        if batch_id > 0:
+            raise RuntimeError("executor host gone")
+        whole(self, batch, batch_id, base)
+
+    monkeypatch.setattr(IncrementalTable, "_apply", dying)
+    with pytest.raises(Exception, match="executor host gone"):
+        state.full_refresh(spark, stream())
+    monkeypatch.undo()
+    assert state._generation(spark) == live
+    check_against_batch(spark, state, raw_rows(spark, RAW, rows))
+    state.full_refresh(spark, stream())
+    assert state._generation(spark) != live
+    check_against_batch(spark, state, raw_rows(spark, RAW, rows))
