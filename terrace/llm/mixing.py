@@ -11,14 +11,17 @@ hypergeometric draw says how many of every source's draws go left. Shards theref
 disjoint draws, and their source counts vary as in one random permutation of all draws.
 
 On the driver are only one row per source (at most ``most_sources``, else an error) and the
-tree's counts per source and shard. Rows meet their block by a join on (source, block);
-blocks are bounded in number per source, and a source with a third of all rows has as many
-blocks as any other, each in its own sort. Equal input gives equal output: every draw comes
-from a seed and hashes, never from row order.
+tree's counts per source and shard. Rows meet their block by a join on (source, block); the
+number of blocks grows with the rows, so that each block, sorted by a task, holds about
+``BLOCK_ROWS`` of them at most; a source with a third of all rows has as many
+blocks as any other. Written shards are cut along their drawn order into pieces of about
+``PIECE_WORDS`` words, one task each, so tasks do not grow with the corpus. Equal input gives
+equal output: every draw comes from a seed and hashes, never from row order.
 
 Defined results: null and empty texts have size 0 and are taken 0 times. A null source is a
 source of its own and comes last. A source without words has target 0. Repeated rows are
-rows; which of two equal rows is cut makes no difference. An empty table gives no rows.
+rows; which of two equal rows is cut makes no difference. An empty table gives no rows. Input
+columns of any name come back unchanged.
 """
 
 from __future__ import annotations
@@ -28,11 +31,13 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
-from terrace.llm.tables import stored
+from terrace.llm.tables import parts, stored
 from terrace.llm.texts import words
 
 BLOCKS = 4_096
+BLOCK_ROWS = 16_384
 SHARDS = 64
+PIECE_WORDS = 1 << 24
 MOST_REPEATS = 3
 MOST_SOURCES = 1_000_000
 WEIGHTS = (1, 2, 3)
@@ -80,7 +85,7 @@ def mix(
     documents: DataFrame,
     weights: tuple[float, ...] = WEIGHTS,
     shards: int = SHARDS,
-    blocks: int = BLOCKS,
+    blocks: int | None = None,
     seed: int = 20,
     most_repeats: int = MOST_REPEATS,
     most_sources: int = MOST_SOURCES,
@@ -92,10 +97,16 @@ def mix(
 ) -> DataFrame:
     """One row per document: its columns ``keep``, size, target of its source, words taken, and its draws.
 
-    ``draws`` lists (pass, shard, words): one element for each time the mix takes the document, whole
+    Without ``blocks``, a source has 4,096, or more if the table has over ``BLOCK_ROWS`` rows for each. ``draws`` lists (pass, shard, words): one element for each time the mix takes the document, whole
     or, in the last row of a quota and without ``whole``, its first words. Sources weigh ``weights`` in turn, by code point.
     """
+    return _mix(documents, weights, shards, blocks, seed, most_repeats, most_sources, doc_id, text, source, keep, whole)[0]
+
+
+def _mix(documents, weights, shards, blocks, seed, most_repeats, most_sources, doc_id, text, source, keep, whole) -> tuple[DataFrame, int]:
+    """The rows of ``mix``, and the words of the whole table."""
     spark = documents.sparkSession
+    blocks = max(BLOCKS, parts(documents, BLOCK_ROWS)) if blocks is None else blocks
     sized = documents.select(
         *[F.col(c) for c in keep],
         F.col(doc_id).alias("_id"),
@@ -154,7 +165,7 @@ def mix(
         F.coalesce("_draws", F.array().cast("array<struct<turn:int,shard:int>>")),
         lambda d: F.struct(d["turn"].alias("turn"), d["shard"].alias("shard"), F.when(d["turn"] == most_repeats, F.col("_part")).otherwise(F.col("_size")).alias("words")),
     )
-    return rows.select(
+    told = rows.select(
         *[F.col(c) for c in keep],
         F.col("_id").alias("mixed_id"),
         F.col("_size").alias("size"),
@@ -163,21 +174,40 @@ def mix(
         (F.col("_passes") * F.col("_size") + F.col("_part")).alias("taken"),
         F.filter(taken, lambda d: d["words"] > 0).alias("draws"),
     )
+    return told, sum(r["words"] for r in known)
 
 
-
-def mixed_documents(documents: DataFrame, text: str = "text", **settings) -> DataFrame:
+def mixed_documents(
+    documents: DataFrame,
+    weights: tuple[float, ...] = WEIGHTS,
+    shards: int = SHARDS,
+    blocks: int | None = None,
+    seed: int = 20,
+    most_repeats: int = MOST_REPEATS,
+    most_sources: int = MOST_SOURCES,
+    doc_id: str = "doc_id",
+    text: str = "text",
+    source: str = "source",
+    whole: bool = False,
+) -> DataFrame:
     """The rows of the mix, with the documents' own columns, dealt to shards and in a drawn order inside each.
 
     A document that is taken n times is n rows. All are whole with ``whole``; without it, the one
     row that ends a source's quota keeps its first words, so that the words meet the target.
+    A shard is one partition, or several that follow each other in its order if it has over ``PIECE_WORDS`` words.
     """
     names = documents.columns
-    held = documents.select(F.struct(*[F.col(c) for c in names]).alias("_row"), *[F.col(c) for c in names])
-    mixed = mix(held, text=text, keep=("_row",), **settings)
+    # The columns travel in one, so that no name of theirs meets one of ours.
+    held = documents.select(
+        F.struct(*[F.col(f"`{c}`") for c in names]).alias("_row"), F.col(doc_id).alias("_doc"), F.col(text).alias("_text"), F.col(source).alias("_from")
+    )
+    mixed, total = _mix(held, weights, shards, blocks, seed, most_repeats, most_sources, "_doc", "_text", "_from", ("_row",), whole)
     rows = mixed.select("_row", "size", F.explode("draws").alias("_draw"))
     order = F.xxhash64(F.lit("order"), F.col("_row"), F.col("_draw.turn"))
-    dealt = rows.select("_row", "size", "_draw", order.alias("_at")).repartition(F.col("_draw.shard")).sortWithinPartitions("_draw.shard", "_at")
-    tokens = words(F.col(f"_row.{text}"))
-    cut = F.when(F.col("_draw.words") < F.col("size"), F.array_join(F.slice(tokens, F.lit(1), F.col("_draw.words").cast("int")), " "))
-    return dealt.select(*[(F.coalesce(cut, F.col(f"_row.{c}")) if c == text else F.col(f"_row.{c}")).alias(c) for c in names])
+    pieces = max(1, -(-total // (shards * PIECE_WORDS)))
+    piece = F.least(F.lit(pieces - 1), F.floor((F.col("_at").cast("double") / 2.0**64 + 0.5) * pieces)).cast("int")
+    placed = rows.select("_row", "size", "_draw", order.alias("_at")).repartitionById(shards * pieces, F.col("_draw.shard") * pieces + piece)
+    dealt = placed.sortWithinPartitions("_at")
+    own = lambda c: F.col("_row").getField(c)
+    cut = F.when(F.col("_draw.words") < F.col("size"), F.array_join(F.slice(words(own(text)), F.lit(1), F.col("_draw.words").cast("int")), " "))
+    return dealt.select(*[(F.coalesce(cut, own(c)) if c == text else own(c)).alias(c) for c in names])

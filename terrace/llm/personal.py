@@ -227,14 +227,27 @@ def discovered_spans(
 
 
 def find_personal_data(documents: DataFrame, doc_id: str = "doc_id", text: str = "text", **settings) -> DataFrame:
-    """The documents, all columns, with ``base_spans`` and ``all_spans``."""
-    more = discovered_spans(documents, doc_id=doc_id, text=text, **settings).select(
-        F.col("doc_id").alias("_found_id"), F.col("content").alias("_found_content"), F.col("more").alias("_more")
-    )
-    whole = F.coalesce(F.col(text), F.lit(""))
-    joined = documents.join(more, F.col(doc_id).eqNullSafe(F.col("_found_id")) & (F.xxhash64(text) == F.col("_found_content")), "left")
-    based = joined.withColumn("base_spans", base_spans(whole))
-    return based.withColumn("all_spans", F.sort_array(F.concat("base_spans", F.coalesce("_more", F.array().cast(SPANS))))).drop("_found_id", "_found_content", "_more")
+    """The documents, all columns, with ``base_spans`` and ``all_spans``; input columns of these two names give way."""
+    names = [c for c in documents.columns if c not in ("base_spans", "all_spans")]
+    more = discovered_spans(documents, doc_id=doc_id, text=text, **settings)
+    # The columns travel in one, so that no name of theirs meets one of ours.
+    held = documents.select(F.struct(*[F.col(f"`{c}`") for c in names]).alias("_row"), F.col(doc_id).alias("_id"), F.xxhash64(text).alias("_content"))
+    joined = held.join(more, F.col("_id").eqNullSafe(more["doc_id"]) & (F.col("_content") == more["content"]), "left")
+    based = joined.withColumn("base_spans", base_spans(F.coalesce(F.col("_row").getField(text), F.lit(""))))
+    every = F.sort_array(F.concat("base_spans", F.coalesce("more", F.array().cast(SPANS))))
+    return based.select(*[F.col("_row").getField(c).alias(c) for c in names], "base_spans", every.alias("all_spans"))
+
+
+def masked_documents(documents: DataFrame, doc_id: str = "doc_id", text: str = "text", n_chars: str = "n_chars", **settings) -> DataFrame:
+    """The documents, all columns, with every span replaced by its kind in brackets; ``n_chars``, if there, follows a changed text."""
+    names = documents.columns
+    held = documents.select(F.struct(*[F.col(f"`{c}`") for c in names if c != text]).alias("_row"), F.col(doc_id).alias("doc_id"), F.col(text).alias("text"))
+    found = find_personal_data(held, **settings).withColumn("_masked", masked(F.col("text"), F.col("all_spans")))
+    own = {c: F.col("_row").getField(c) for c in names if c != text}
+    own[text] = F.col("_masked")
+    if n_chars in own:
+        own[n_chars] = F.when(F.size("all_spans") > 0, F.length("_masked").cast("long")).otherwise(own[n_chars])
+    return found.select(*[own[c].alias(c) for c in names])
 
 
 def shown(spans: Column) -> Column:

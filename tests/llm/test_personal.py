@@ -31,3 +31,20 @@ def test_runs_are_cut_at_seeds(spark):
     got = sorted((r.start, r.end, r.item, list(r.kinds)) for r in personal.candidates(docs, "doc_id", "text").collect())
     want = [("+49 30 12345678", ["phone"]), ("a1", []), ("b2@c", []), ("3 4,", []), ("y@z.example.com", ["email"]), ("5", [])]
     assert [(text[a:b], item, kinds) for a, b, item, kinds in got] == [(item, item, kinds) for item, kinds in want]
+
+
+def test_columns_of_any_name_come_back(spark):
+    schema = "doc_id long, text string, n_chars long, _row string, _found_id long, content long, more string, base_spans string, all_spans int, `x.y` int, _masked string"
+    rows = [(i, t, len(t or ""), "r", 7, 8, "m", "b", 9, 1, "k") for i, t in enumerate(["write to a@b.org now", "nothing here", None, "", "call +1 (599) 555-3756"])]
+    docs = spark.createDataFrame(rows + rows[:1], schema)
+    got = personal.masked_documents(docs)
+    assert got.columns == docs.columns
+    found = sorted(map(tuple, got.collect()))
+    want = []
+    for row in rows + rows[:1]:
+        text = {0: "write to [EMAIL] now", 4: "call [PHONE]"}.get(row[0], row[1])
+        want.append((row[0], text, len(text) if row[0] in (0, 4) else row[2], *row[3:]))
+    assert found == sorted(want)
+    kept = personal.find_personal_data(docs)
+    assert kept.columns == [c for c in docs.columns if c not in ("base_spans", "all_spans")] + ["base_spans", "all_spans"]
+    assert personal.masked_documents(docs.limit(0)).count() == 0

@@ -15,3 +15,10 @@ def test_without_usable_labels_every_document_stays(spark, labels):
     docs = spark.createDataFrame(rows, "doc_id long, text string")
     model = toxicity.train_toxicity(docs, spark.createDataFrame(labels, "doc_id long, toxic int"), "toxic", lambda c: c.isNotNull())
     assert sorted(map(str, toxicity.without_toxic(docs, model).collect())) == sorted(map(str, docs.collect()))
+
+
+def test_an_empty_table_has_no_scores(spark):
+    ship_package(spark)
+    docs = spark.createDataFrame([], "doc_id long, text string")
+    model = toxicity.train_toxicity(docs, spark.createDataFrame([], "doc_id long, toxic int"), "toxic", lambda c: c.isNotNull())
+    assert toxicity.toxicity_scores(docs, model).count() == 0 and toxicity.without_toxic(docs, model).count() == 0
