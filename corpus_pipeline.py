@@ -29,10 +29,7 @@ def drop_near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> D
 
 def mask_personal_data(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Personal data is replaced by its kind in brackets; ``n_chars`` follows the new text."""
-    found = personal.find_personal_data(docs)
-    text = F.when(F.col("text").isNull(), F.lit(None)).otherwise(personal.masked(F.col("text"), F.col("all_spans")))
-    changed = F.size("all_spans") > 0
-    return found.withColumns({"text": text, "n_chars": F.when(changed, F.length(text).cast("long")).otherwise(F.col("n_chars"))}).select(*docs.columns)
+    return personal.masked_documents(docs)
 
 
 def mix_sources(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
