@@ -2,9 +2,12 @@
 
 A window per key sends all rows of the key to one task. That is right for
 ordinary keys and wrong for a key that holds a large part of the table, so keys
-above ``long_key_rows`` take another way: their timeline is cut into slices by
-quantiles of the order column, each slice is walked on its own, and one summary
+above ``long_key_rows`` take another way: their timeline is cut into slices at
+order values drawn by hash, each slice is walked on its own, and one summary
 row per slice carries the state across the cuts. Both ways give the same rows.
+
+The cuts are order values themselves, so any type that sorts is cut alike, and a hash
+of key and order value draws them, so a second reading of the rows draws the same ones.
 """
 
 from __future__ import annotations
@@ -14,14 +17,18 @@ from functools import reduce
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
 
 LONG_KEY_ROWS = 2_000_000
 SLICE_ROWS = 65_536
-# Quantiles of a long key: slices have about SLICE_ROWS rows, or 1 / CUTS ** 2 of the key if that is more.
-CUTS = 64
-# Texts that share more first bytes than this are placed by what follows these.
-MOST_COMMON_BYTES = 1_024
+# Order values drawn per slice, of which one is a cut: slices then differ little in size. Fewer are drawn per slice
+# where a key would have more than MOST_DRAWN of them.
+PER_SLICE = 64
+MOST_DRAWN = 1_048_576
+# Cuts of all long keys together, which bounds what is broadcast; beyond it slices grow.
+MOST_CUTS = 1_048_576
+MOST_CUTS_PER_KEY = 65_536
+# Sampled rows that tell a long key: a key near the limit may take either way, with the same rows.
+TELLING_ROWS = 1_024
 # Long keys number at most rows / LONG_KEY_ROWS; below this many they are broadcast,
 # beyond it the split is an ordinary shuffle join.
 BROADCAST_LONG_KEYS = 1_000
@@ -32,32 +39,6 @@ RUN, RUN_START, NEXT_AT, RUN_ENDS, POSITION, PREVIOUS = (
 _SLICE = "_slice"
 
 
-def _axis(df: DataFrame, order: str) -> Column:
-    """The order column as a number that never falls while the column rises: texts by six bytes after ``_skip``."""
-    kind = df.schema[order].dataType
-    if isinstance(kind, (T.TimestampType, T.TimestampNTZType)):
-        return F.unix_micros(F.col(order).cast("timestamp")).cast("double")
-    if isinstance(kind, T.DateType):
-        return F.unix_date(F.col(order)).cast("double")
-    if isinstance(kind, (T.StringType, T.BinaryType)):
-        head = F.rpad(F.hex(F.substring(F.col(order).cast("binary"), F.col("_skip") + 1, F.lit(6))), 12, "0")
-        return F.conv(head, 16, 10).cast("double")
-    if isinstance(kind, T.BooleanType):
-        return F.col(order).cast("int").cast("double")
-    return F.col(order).cast("double")
-
-
-def _common_bytes(df: DataFrame, order: str) -> Column:
-    """How many first bytes all of a key's order values share, if they are texts: those of the least and the greatest."""
-    if not isinstance(df.schema[order].dataType, (T.StringType, T.BinaryType)):
-        return F.lit(0)
-    low, high = F.min(F.col(order).cast("binary")), F.max(F.col(order).cast("binary"))
-    ends = F.struct(low.alias("low"), high.alias("high"))
-    lengths = F.sequence(F.lit(0), F.least(F.length(ends["low"]), F.length(ends["high"]), F.lit(MOST_COMMON_BYTES)))
-    shared = F.filter(lengths, lambda n: F.substring(ends["low"], F.lit(1), n) == F.substring(ends["high"], F.lit(1), n))
-    return F.coalesce(F.array_max(shared), F.lit(0))
-
-
 def _same(left: Column, right: Column) -> Column:
     return left.eqNullSafe(right)
 
@@ -75,41 +56,63 @@ def _on_keys(left: DataFrame, right: DataFrame, keys: Sequence[str], how: str) -
     return joined.drop(*[f"_k{i}" for i in range(len(keys))])
 
 
-def split_long_keys(
-    df: DataFrame, keys: Sequence[str], order: str, long_key_rows: int
-) -> tuple[DataFrame, DataFrame | None]:
-    """(rows of ordinary keys, rows of long keys with their slice); second part None if there are none.
+def _long_keys(df: DataFrame, keys: Sequence[str], long_key_rows: int) -> tuple[DataFrame, int] | None:
+    """(keys above the limit with their ``_rows``, how many at most), or None if there are none.
 
-    One column-pruned count per key decides; partial aggregation keeps a heavy key
-    from meeting in one task. At most ``BROADCAST_LONG_KEYS + 1`` rows reach the
-    driver, to learn which join is safe.
+    A sample of the key columns decides, so only that share of the rows is counted and shuffled. Up to
+    ``BROADCAST_LONG_KEYS`` keys are told to the driver and broadcast back. If there are more, keys are counted
+    exactly: a plan that is read more than once has to name the same keys each time, which a sample need not.
     """
-    axis = _axis(df, order)
-    long_keys = (
-        df.groupBy(*keys)
-        .agg(F.count("*").alias("_rows"), _common_bytes(df, order).alias("_skip"))
-        .filter(F.col("_rows") > long_key_rows)
-    )
-    found = long_keys.limit(BROADCAST_LONG_KEYS + 1).collect()
+    share = min(1.0, TELLING_ROWS / max(1, long_key_rows))
+    sampled = df.select(*keys) if share == 1.0 else df.select(*keys).sample(share, 42)
+    count = lambda rows: rows.groupBy(*keys).agg(F.count("*").alias("_rows"))
+    above = F.col("_rows") > long_key_rows
+    counted = count(sampled).withColumn("_rows", F.ceil(F.col("_rows") / F.lit(share))).filter(above)
+    found = counted.limit(BROADCAST_LONG_KEYS + 1).collect()
     if not found:
-        return df, None
+        return None
     if len(found) <= BROADCAST_LONG_KEYS:
-        long_keys = F.broadcast(df.sparkSession.createDataFrame(found, long_keys.schema))
+        return F.broadcast(df.sparkSession.createDataFrame(found, counted.schema)), len(found)
+    return count(df).filter(above), len(found)
+
+
+def _cuts(matched: DataFrame, keys: Sequence[str], order: str, most: int) -> DataFrame:
+    """Per long key the sorted order values at which its slices begin.
+
+    ``_rows / _target`` slices are wanted. Equal order values are drawn together and count once, as they collapse to
+    one row, so copies neither move a cut nor make a slice of their own.
+    """
+    target = F.greatest(F.lit(SLICE_ROWS), F.ceil(F.col("_rows") / F.lit(most)))
+    every = F.greatest(F.lit(1), F.floor(target / F.lit(PER_SLICE)), F.ceil(F.col("_rows") / F.lit(MOST_DRAWN)))
+    drawn = matched.filter(F.col(order).isNotNull() & (F.pmod(F.xxhash64(*keys, order), every) == 0))
+    stride = F.floor(target / every)
+    drawn = drawn.select(*keys, F.col(order).alias("_at"), stride.cast("int").alias("_stride")).distinct()
+    values = drawn.groupBy(*keys).agg(F.sort_array(F.collect_set("_at")).alias("_drawn"), F.max("_stride").alias("_stride"))
+    return values.select(*keys, F.filter("_drawn", lambda _, i: (i + 1) % F.col("_stride") == 0).alias("_cuts"))
+
+
+def _slice_of(order: Column, cuts: Column) -> Column:
+    """How many of the sorted cuts are not above the value, by halving steps; 0 for null and where there are no cuts."""
+    steps = F.array(*[F.lit(2**i) for i in range(MOST_CUTS_PER_KEY.bit_length(), -1, -1)])
+    reached = lambda place: F.coalesce(F.get(cuts, place - 1) <= order, F.lit(False))
+    return F.aggregate(steps, F.lit(0), lambda place, step: F.when(reached(place + step), place + step).otherwise(place))
+
+
+def split_long_keys(
+    df: DataFrame, keys: Sequence[str], order: str, long_key_rows: int
+) -> tuple[DataFrame, DataFrame | None]:
+    """(rows of ordinary keys, rows of long keys with their slice); second part None if there are none."""
+    told = _long_keys(df, keys, long_key_rows)
+    if told is None:
+        return df, None
+    long_keys, number = told
+    few = number <= BROADCAST_LONG_KEYS
     ordinary = _on_keys(df, long_keys, keys, "left_anti")
     matched = _on_keys(df, long_keys, keys, "inner")
-    shares = F.expr(f"array({', '.join(f'{i / CUTS**2}D' for i in range(1, CUTS**2))})")
-    cuts = matched.groupBy(*keys).agg(
-        F.percentile_approx(axis, shares, 10 * CUTS**2).alias("_cuts"),
-        F.greatest(F.lit(1), F.floor(F.lit(CUTS**2 * SLICE_ROWS) / F.count("*"))).alias("_stride"),
-    )
-    cuts = cuts.withColumn("_coarse", F.filter("_cuts", lambda _, i: (i + 1) % CUTS == 0))
-    if len(found) <= BROADCAST_LONG_KEYS:
-        cuts = F.broadcast(cuts)
-    below = lambda cut: F.coalesce(cut <= axis, F.lit(False))
-    placed = _on_keys(matched, cuts, keys, "inner").withColumn("_part", F.size(F.filter("_coarse", below)))
-    fine = F.size(F.filter(F.slice("_cuts", F.col("_part") * CUTS + 1, F.lit(CUTS - 1)), below))
-    long_rows = placed.withColumn(_SLICE, F.floor((F.col("_part") * CUTS + fine) / F.col("_stride")))
-    return ordinary, long_rows.drop("_rows", "_skip", "_cuts", "_coarse", "_stride", "_part")
+    cuts = _cuts(matched, keys, order, min(MOST_CUTS_PER_KEY, max(1, MOST_CUTS // number)))
+    placed = _on_keys(matched, F.broadcast(cuts) if few else cuts, keys, "left")
+    long_rows = placed.withColumn(_SLICE, _slice_of(F.col(order), F.col("_cuts")))
+    return ordinary, long_rows.drop("_rows", "_cuts")
 
 
 def last_per_instant(df: DataFrame, groups: Sequence[str], order: str, ties: Sequence[str]) -> DataFrame:

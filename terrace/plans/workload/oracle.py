@@ -571,3 +571,7 @@ ORACLE["column_dependencies"] = _dependencies(
 )
 ORACLE["quantiles_of_months"] = """SELECT event_type, CAST(share AS DOUBLE) AS share, count(*) AS rows, true AS within
 FROM events, (VALUES (0.25), (0.5), (0.75)) AS shares(share) WHERE value IS NOT NULL GROUP BY event_type, share"""
+
+ORACLE["distinct_customers_of_years"] = """SELECT CAST(year(o_orderdate) AS INTEGER) AS year, count(DISTINCT o_custkey) AS customers,
+       count(DISTINCT CAST(o_orderdate AS VARCHAR) || '|' || o_orderpriority) AS day_priorities
+FROM orders WHERE o_orderdate IS NOT NULL GROUP BY 1"""

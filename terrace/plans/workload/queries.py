@@ -884,6 +884,21 @@ def quantiles_of_months(spark, sf_dir):
     return told.select("event_type", "share", "rows", (F.col("rank_error") <= 0.02).alias("within"))
 
 
+@query
+def distinct_customers_of_years(spark, sf_dir):
+    """Exact distinct customers and days with orders per year, from what two increments kept of each month."""
+    orders = spark.read.parquet(f"{sf_dir}/orders.parquet").select("o_custkey", "o_orderdate", "o_orderpriority")
+    rows = orders.withColumn("month", F.trunc("o_orderdate", "month")).withColumn("part", F.pmod(F.xxhash64("o_orderpriority"), F.lit(2)))
+    kept, sets = scratch_path(spark, "bitmaps"), scratch_path(spark, "sets")
+    for part in (0, 1):
+        arrived = rows.filter(F.col("part") == part)
+        sketches.id_bitmaps(arrived, ["month"], "o_custkey").write.mode("append").parquet(kept)
+        sketches.key_sets(arrived, ["month"], ["o_orderdate", "o_orderpriority"]).write.mode("append").parquet(sets)
+    by_year = lambda path: spark.read.parquet(path).withColumn("year", F.year("month"))
+    customers = sketches.distinct_ids(by_year(kept), ["year"], "customers")
+    return customers.join(sketches.distinct_keys(by_year(sets), ["year"], ["o_orderdate", "o_orderpriority"], "day_priorities"), "year")
+
+
 # --- incremental upkeep -----------------------------------------------------------------------
 
 

@@ -61,3 +61,21 @@ def test_sketches_of_parts_merge_within_their_error(spark):
     assert {r.g for r in told} == {"x", "y", None} and len(told) == 15 and max(r.rank_error for r in told) <= 0.01
     least = min(v for g, _, v in rows if g == "x" and v is not None)
     assert next(r.quantile for r in told if r.g == "x" and r.share == 0.0) == least
+
+
+def test_distinct_counts_of_increments_are_exact(spark):
+    """Ids in several months and parts, a part that arrives twice, nulls, negative and very large ids."""
+    dice = random.Random(8)
+    ids = [None, -5, 0, 1, 32_767, 32_768, 32_769, 2**40, 2**62, *range(100, 400)]
+    rows = [(dice.choice(["x", "y", None]), dice.randrange(4), i, dice.choice([None, "p", "q"])) for i in dice.choices(ids, k=3_000)]
+    parts = [spark.createDataFrame(p, "g string, month int, id long, kind string") for p in (rows[:1_000], rows[1_000:], rows[:1_000])]
+    made = [sketches.id_bitmaps(p, ["g", "month"], "id") for p in parts]
+    kept = made[0].unionByName(made[1]).unionByName(made[2])
+    got = {(r.g, r.month): r["distinct"] for r in sketches.distinct_ids(kept, ["g", "month"]).collect()}
+    assert got == {(g, m): len({r[2] for r in rows if r[:2] == (g, m)} - {None}) for g, m in {r[:2] for r in rows}}
+    whole = {r.g: r["distinct"] for r in sketches.distinct_ids(sketches.merged_bitmaps(kept, ["g"]), ["g"]).collect()}
+    assert whole == {g: len({r[2] for r in rows if r[0] == g} - {None}) for g in ("x", "y", None)}
+    sets = [sketches.key_sets(p, ["g", "month"], ["id", "kind"]) for p in parts]
+    both = sketches.distinct_keys(sets[0].unionByName(sets[1]).unionByName(sets[2]), ["g"], ["id", "kind"])
+    assert {r.g: r["distinct"] for r in both.collect()} == {g: len({r[2:] for r in rows if r[0] == g and None not in r[2:]}) for g in ("x", "y", None)}
+    assert sketches.distinct_ids(sketches.id_bitmaps(parts[0].limit(0), ["g"], "id"), ["g"]).collect() == []

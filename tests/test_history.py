@@ -115,6 +115,28 @@ def test_instants_as_text_are_sliced_evenly(spark, monkeypatch):
     assert whole.exceptAll(sliced).count() == 0 and sliced.exceptAll(whole).count() == 0
 
 
+def test_copies_of_few_instants_do_not_move_the_cuts(spark, monkeypatch):
+    """Half the rows are copies of one instant: the others are still cut evenly, and the history is the same."""
+    monkeypatch.setattr(timeline, "SLICE_ROWS", 500)
+    df = spark.range(20_000).selectExpr("'a' AS k", "if(id % 2 = 0, 10000, id) AS at", "id % 9 AS v")
+    _, rows = timeline.split_long_keys(df, ["k"], "at", 1_000)
+    sizes = [r["n"] for r in rows.distinct().selectExpr("_slice", "at").distinct().groupBy("_slice").agg({"at": "count"}).toDF("s", "n").collect()]
+    assert sum(sizes) == 10_001 and max(sizes) <= 1_000
+    whole, sliced = (history.change_history(df, ["k"], "at", ["v"], long_key_rows=n) for n in (100_000, 1_000))
+    assert whole.exceptAll(sliced).count() == 0 and sliced.exceptAll(whole).count() == 0
+
+
+@pytest.mark.parametrize("kind", ["decimal(20, 3)", "double", "struct<at: bigint>", "binary"])
+def test_a_sequence_of_any_sortable_type_is_sliced(spark, monkeypatch, kind):
+    monkeypatch.setattr(timeline, "SLICE_ROWS", 50)
+    value = {"struct<at: bigint>": "named_struct('at', id)", "binary": "CAST(lpad(string(id), 9, '0') AS BINARY)"}.get(kind, f"CAST(id AS {kind})")
+    df = spark.range(2_000).selectExpr("'a' AS k", f"{value} AS at", "id DIV 7 % 5 AS v")
+    _, rows = timeline.split_long_keys(df, ["k"], "at", 100)
+    assert rows.select("_slice").distinct().count() > 20
+    whole, sliced = (history.change_history(df, ["k"], "at", ["v"], long_key_rows=n) for n in (10_000, 100))
+    assert whole.exceptAll(sliced).count() == 0 and sliced.exceptAll(whole).count() == 0
+
+
 def test_a_text_sequence_gives_the_same_history_either_way(spark):
     df = spark.range(300).selectExpr("'a' AS k", "if(id % 50 = 0, NULL, concat('run-', lpad(string(id % 120), 4, '0'))) AS at", "id % 7 AS v")
     whole, sliced = (history.change_history(df, ["k"], "at", ["v"], long_key_rows=n) for n in (1_000, 10))
