@@ -1,11 +1,14 @@
 """Language-model scores of documents: a class-based bigram model, classes by exchange.
 
-P(text) is the product over its tokens of P(class | class before) and P(word | class). The
-most frequent words are units of their own; every other word belongs to the unit of its
-shape (length and last byte). Exchange clustering moves one unit after another to the class
-that most raises the likelihood of the corpus' class bigrams, until a sweep changes nothing
-or the sweeps are over. All words of the training documents count: word counts, unit bigrams
-and class sizes cover every token.
+P(text) is the product over its tokens of P(class | class before) and P(word | class). Exchange
+clustering moves one word after another to the class that most raises the likelihood of the
+corpus' class bigrams, in two steps. First the most frequent words, with one unit for each
+shape (length and last byte) of all others, on a matrix that fits the driver, until a sweep
+changes nothing or the sweeps are over. Then all words of the head: Spark sums, per word, which
+classes stand before and after it, and each word goes to its best class; the classes of the
+sweep with the highest likelihood stay. Words beyond the head, rarer than all in it, and words
+that training has not seen are in the class of their shape, which is clustered by its contexts.
+All words of the training documents count: word counts, contexts and class sizes cover every token.
 
 What a task holds is bounded: the head of the vocabulary (``head_words`` words and counts,
 broadcast, 16 bytes each), a matrix over units, and a few megabytes of text. Counts of
@@ -20,7 +23,7 @@ empty table gives no rows.
 
 from __future__ import annotations
 
-from dataclasses import dataclass
+from dataclasses import dataclass, replace
 
 import numpy as np
 import pandas as pd
@@ -35,6 +38,9 @@ HEAD_WORDS = 1 << 18
 UNIT_WORDS = 1_024
 CLASSES = 64
 SWEEPS = 8
+HEAD_SWEEPS = 2
+#: Words that one group of the exchange over the head holds.
+GROUP_WORDS = 256
 SHAPES = 64
 #: The value of the end token; no word's, but for a chance of 2^-64.
 END = np.uint64(0x454E44)
@@ -148,6 +154,26 @@ def _xlogx(x: np.ndarray) -> np.ndarray:
     return x * np.log(np.maximum(x, 1e-300))
 
 
+def placement_values(between: np.ndarray, after: np.ndarray, before: np.ndarray, itself: float) -> np.ndarray:
+    """What each class would gain by a word that stands in none: ``after`` and ``before`` count the classes next to it
+    without itself, ``itself`` how often it follows itself."""
+    out, into, both = between.sum(axis=1), between.sum(axis=0), between.diagonal()
+    right, left = np.flatnonzero(after), np.flatnonzero(before)
+    gain = _xlogx(between[:, right] + after[right]) - _xlogx(between[:, right])
+    gain_in = _xlogx(between[left].T + before[left]) - _xlogx(between[left].T)
+    value = gain.sum(axis=1) + gain_in.sum(axis=1)
+    value[right] -= gain[right, np.arange(len(right))]
+    value[left] -= gain_in[left, np.arange(len(left))]
+    value += _xlogx(both + after + before + itself) - _xlogx(both)
+    value -= _xlogx(out + after.sum() + itself) - _xlogx(out) + _xlogx(into + before.sum() + itself) - _xlogx(into)
+    return value
+
+
+def information(between: np.ndarray) -> float:
+    """The part of the corpus' log likelihood that the classes decide."""
+    return float(_xlogx(between).sum() - _xlogx(between.sum(axis=1)).sum() - _xlogx(between.sum(axis=0)).sum())
+
+
 def exchange(bigrams: np.ndarray, classes: int = CLASSES, sweeps: int = SWEEPS) -> np.ndarray:
     """A class for every unit, so that the mutual information of class bigrams is high."""
     n = len(bigrams)
@@ -169,13 +195,7 @@ def exchange(bigrams: np.ndarray, classes: int = CLASSES, sweeps: int = SWEEPS)
             between[own] -= after
             between[:, own] -= before
             between[own, own] -= itself
-            now, out, into = _xlogx(between), between.sum(axis=1), between.sum(axis=0)
-            gain = _xlogx(between + after) - now
-            gain_in = _xlogx(between.T + before) - now.T
-            both = np.diag(between)
-            value = gain.sum(axis=1) - np.diag(gain) + gain_in.sum(axis=1) - np.diag(gain_in)
-            value += _xlogx(both + after + before + itself) - np.diag(now)
-            value -= _xlogx(out + after.sum() + itself) - _xlogx(out) + _xlogx(into + before.sum() + itself) - _xlogx(into)
+            value = placement_values(between, after, before, itself)
             best = int(value.argmax())
             if value[best] <= value[own] + 1e-9:
                 best = own
@@ -191,14 +211,146 @@ def exchange(bigrams: np.ndarray, classes: int = CLASSES, sweeps: int = SWEEPS)
     return of
 
 
+@dataclass
+class Classes:
+    """The class of every word: of the head by word (sorted), of others by shape."""
+
+    words: np.ndarray
+    of_word: np.ndarray
+    of_shape: np.ndarray
+    end: int
+    number: int
+
+    def sequence(self, found: Words, texts: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """Classes of all texts, each between end tokens; each token's place in the head, or -1; where each text's first token stands."""
+        place = np.full(len(found.value), -1, dtype=np.int64)
+        kind = self.of_shape[shape_of(found)]
+        if len(self.words):
+            at = np.minimum(np.searchsorted(self.words, found.value), len(self.words) - 1)
+            hit = self.words[at] == found.value
+            place[hit] = at[hit]
+            kind[hit] = self.of_word[at[hit]]
+        begin = found.bounds[:-1] + np.arange(texts) + 1
+        keep = np.ones(len(found.value) + texts + 1, dtype=bool)
+        keep[0] = False
+        keep[begin + np.diff(found.bounds)] = False
+        kinds, places = np.full(len(keep), self.end, dtype=np.int64), np.full(len(keep), -1, dtype=np.int64)
+        kinds[keep], places[keep] = kind, place
+        return kinds, places, begin
+
+
+def class_contexts(texts: DataFrame, classes: Classes, words: bool = True) -> DataFrame:
+    """(key, n): class bigrams under key -1 - (before * classes + after), and, unless ``words`` is False, for each word
+    of the head under key place * (2 * classes + 1) + slot: classes before it, classes after it, itself after it."""
+    sent = texts.sparkSession.sparkContext.broadcast(classes)
+
+    def count(frames):
+        own = sent.value
+        number, width = own.number, 2 * own.number + 1
+        between = np.zeros(number * number, dtype=np.int64)
+        held: list[tuple[np.ndarray, np.ndarray]] = []
+        size = 0
+
+        def merged():
+            key, n = (np.concatenate(x) for x in zip(*held, strict=True))
+            keys, place = np.unique(key, return_inverse=True)
+            return keys, np.bincount(place, n, len(keys)).astype(np.int64)
+
+        for frame in chunks(frames):
+            kinds, places, _ = own.sequence(words_of(frame["text"].tolist()), len(frame))
+            between += np.bincount(kinds[:-1] * number + kinds[1:], minlength=number * number)
+            if not words:
+                continue
+            at = np.flatnonzero(places >= 0)
+            first = places[at] * width
+            twice = places[at] == places[at + 1]
+            keys = np.concatenate([first + kinds[at - 1], first + number + kinds[at + 1], first[twice] + 2 * number])
+            held.append(np.unique(keys, return_counts=True))
+            size += len(held[-1][0])
+            if size > FLUSH:
+                held = [merged()]
+                size = len(held[0][0])
+                if size > FLUSH // 2:
+                    yield pd.DataFrame({"key": held[0][0], "n": held[0][1]})
+                    held, size = [], 0
+        if held:
+            keys, n = merged()
+            yield pd.DataFrame({"key": keys, "n": n})
+        seen = np.flatnonzero(between)
+        yield pd.DataFrame({"key": -1 - seen, "n": between[seen]})
+
+    return texts.mapInPandas(count, "key long, n long").groupBy("key").agg(F.sum("n").alias("n"))
+
+
+def class_bigrams(contexts: DataFrame, number: int) -> np.ndarray:
+    out = np.zeros(number * number)
+    for row in contexts.where("key < 0").collect():
+        out[-1 - row["key"]] = row["n"]
+    return out.reshape(number, number)
+
+
+def best_classes(contexts: DataFrame, classes: Classes, between: np.ndarray) -> np.ndarray:
+    """The best class of each word of the head, while all others stay where they are."""
+    number, width = classes.number, 2 * classes.number + 1
+    sent = contexts.sparkSession.sparkContext.broadcast((classes.of_word.astype(np.int16), between))
+
+    def place_words(rows: pd.DataFrame) -> pd.DataFrame:
+        of_word, between = sent.value
+        word, slot = np.divmod(rows["key"].to_numpy(), width)
+        found, line = np.unique(word, return_inverse=True)
+        table = np.zeros((len(found), width))
+        table[line, slot] = rows["n"]
+        out = np.empty(len(found), dtype=np.int64)
+        for i, place in enumerate(found.tolist()):
+            own, itself = int(of_word[place]), table[i, -1]
+            before, after = table[i, :number], table[i, number:-1]
+            before[own] -= itself
+            after[own] -= itself
+            rest = between.copy()
+            rest[own] -= after
+            rest[:, own] -= before
+            rest[own, own] -= itself
+            value = placement_values(rest, after, before, itself)
+            best = int(value.argmax())
+            out[i] = best if value[best] > value[own] + 1e-9 else own
+        return pd.DataFrame({"place": found, "kind": out})
+
+    group = F.floor(F.col("key") / F.lit(width * GROUP_WORDS)).alias("words")
+    moved = contexts.where("key >= 0").groupBy(group).applyInPandas(place_words, "place long, kind long").toPandas()
+    of_word = classes.of_word.copy()
+    of_word[moved["place"].to_numpy(dtype=np.int64)] = moved["kind"].to_numpy(dtype=np.int64)
+    return of_word
+
+
+def exchange_head(texts: DataFrame, classes: Classes, sweeps: int = HEAD_SWEEPS) -> tuple[Classes, np.ndarray]:
+    """The classes after sweeps over all words of the head, and their bigrams over all texts.
+
+    The words of a sweep move at once, each as if it alone did, so a sweep can lower the likelihood; the sweeps then
+    end and the classes before it stay. A sweep is one reading of the texts; the driver gets one number per word.
+    """
+    best = None
+    for left in range(sweeps, -1, -1):
+        wanted = left > 0 and len(classes.words) > 0
+        contexts = stored(class_contexts(texts, classes, wanted), "class-contexts")
+        between = class_bigrams(contexts, classes.number)
+        if best is not None and information(between) <= information(best[1]):
+            break
+        best = classes, between
+        if not wanted:
+            break
+        of_word = best_classes(contexts, classes, between)
+        if (of_word == classes.of_word).all():
+            break
+        classes = replace(classes, of_word=of_word)
+    return best
+
+
 @dataclass
 class ClassModel:
-    units: Units
-    class_of_unit: np.ndarray
+    classes: Classes
     transition: np.ndarray
     class_tokens: np.ndarray
     class_words: np.ndarray
-    head: np.ndarray
     head_counts: np.ndarray
     tokens: int
     words: int
@@ -224,33 +376,40 @@ def most_frequent(counts: DataFrame, most: int) -> pd.DataFrame:
     return found.sort_values(["n", "word"], ascending=[False, True], kind="stable").reset_index(drop=True)
 
 
-def train_class_model(texts: DataFrame, head_words: int = HEAD_WORDS, unit_words: int = UNIT_WORDS, classes: int = CLASSES, sweeps: int = SWEEPS) -> tuple[ClassModel, DataFrame]:
+def train_class_model(
+    texts: DataFrame,
+    head_words: int = HEAD_WORDS,
+    unit_words: int = UNIT_WORDS,
+    classes: int = CLASSES,
+    sweeps: int = SWEEPS,
+    head_sweeps: int = HEAD_SWEEPS,
+) -> tuple[ClassModel, DataFrame]:
     """The model, and the table of all word counts. ``texts`` has the training texts in column ``text``."""
     counts = stored(word_counts(texts), "word-counts")
     by_shape = counts.groupBy((F.col("word") == int(END)).alias("end"), "shape").agg(F.sum("n").alias("n"), F.count("*").alias("words")).collect()
     head = most_frequent(counts.where(F.col("word") != int(END)), head_words)
     values = head["word"].to_numpy(dtype=np.int64).astype(np.uint64)
+    shapes, seen = head["shape"].to_numpy(dtype=np.int64), head["n"].to_numpy(dtype=np.int64)
     units = Units.of(values[:unit_words])
-    bigrams = unit_bigrams(texts, units)
-    of = exchange(bigrams, classes, sweeps)
-    member = np.eye(classes)[of]
-    between = member.T @ bigrams @ member
+    of = exchange(unit_bigrams(texts, units), classes, sweeps)
+    of_shape = of[1 + len(units.order) :]
+    of_head = np.r_[of[1 : 1 + len(units.order)], of_shape[shapes[len(units.order) :]]]
+    order = np.argsort(values, kind="stable")
+    known, between = exchange_head(texts, Classes(values[order], of_head[order], of_shape, int(of[0]), classes), head_sweeps)
     transition = np.log10((between + SMOOTH) / (between.sum(axis=1, keepdims=True) + SMOOTH * classes))
 
-    unit_tokens, unit_kinds = np.zeros(units.size), np.zeros(units.size)
-    first_shape = 1 + len(units.order)
+    # Tokens and words per class: the end token, shapes without their words of the head, and these by themselves.
+    of_kind = np.r_[known.end, of_shape, known.of_word]
+    kind_tokens, kind_words = np.zeros(1 + SHAPES), np.zeros(1 + SHAPES)
     for row in by_shape:
-        at = 0 if row["end"] else first_shape + row["shape"]
-        unit_tokens[at] += row["n"]
-        unit_kinds[at] += row["words"]
-    own = head.iloc[: len(units.order)]
-    for rank, (shape, n) in enumerate(zip(own["shape"], own["n"], strict=True)):
-        unit_tokens[1 + rank], unit_kinds[1 + rank] = n, 1
-        unit_tokens[first_shape + shape] -= n
-        unit_kinds[first_shape + shape] -= 1
-    order = np.argsort(values, kind="stable")
+        at = 0 if row["end"] else 1 + row["shape"]
+        kind_tokens[at] += row["n"]
+        kind_words[at] += row["words"]
+    kind_tokens[1:] -= np.bincount(shapes, seen, SHAPES)
+    kind_words[1:] -= np.bincount(shapes, minlength=SHAPES)
+    per_class = lambda own, words: np.bincount(of_kind, np.r_[own, words], classes)
     model = ClassModel(
-        units, of, transition, unit_tokens @ member, unit_kinds @ member, values[order], head["n"].to_numpy(dtype=np.int64)[order],
+        known, transition, per_class(kind_tokens, seen[order]), per_class(kind_words, np.ones(len(order))), seen[order],
         int(sum(r["n"] for r in by_shape)), int(sum(r["words"] for r in by_shape)), int(sum(r["n"] for r in by_shape if r["end"])),
     )
     return model, counts
@@ -267,17 +426,15 @@ def score_documents(documents: DataFrame, model: ClassModel, counts: DataFrame,
             n = len(frame)
             found = words_of(frame["text"].tolist())
             which = np.repeat(np.arange(n), np.diff(found.bounds))
-            sequence, begin = m.units.sequence(found, n)
-            kind = m.class_of_unit[sequence]
+            kind, places, begin = m.classes.sequence(found, n)
             step = np.r_[0.0, np.cumsum(m.transition[kind[:-1], kind[1:]] - divided[kind[1:]])]
             size = np.diff(found.bounds) + 1
             last = begin + size - 1
             classes = step[last] - step[begin - 1]
-            if len(m.head):
-                at = np.minimum(np.searchsorted(m.head, found.value), len(m.head) - 1)
-                hit = m.head[at] == found.value
-            else:
-                at, hit = np.zeros(len(which), dtype=np.int64), np.zeros(len(which), dtype=bool)
+            keep = np.ones(len(places), dtype=bool)
+            keep[np.r_[0, last]] = False
+            at = places[keep]
+            hit = at >= 0
             end = np.log10(m.ends + SMOOTH)
             counted = np.bincount(which[hit], log_counts[at[hit]], n) + end
             known = np.bincount(which[hit], minlength=n) + (m.ends > 0)
@@ -300,7 +457,7 @@ def score_documents(documents: DataFrame, model: ClassModel, counts: DataFrame,
     others = F.transform("rest", lambda x: F.struct(x["word"].alias("word"), x["n"].alias("n"), F.lit(None).cast(kinds).alias("told")))
     opened = scored.select("row", F.explode(F.concat(F.array(first), others)).alias("x")).select("row", "x.*")
     beyond = counts.select("word", F.col("n").alias("seen"))
-    if len(model.head):
+    if len(model.head_counts):
         beyond = beyond.where(F.col("seen") <= int(model.head_counts.min()))
     rows = (
         opened.join(beyond, "word", "left")
