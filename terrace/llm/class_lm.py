@@ -41,6 +41,8 @@ SWEEPS = 8
 HEAD_SWEEPS = 2
 #: Words that one group of the exchange over the head holds.
 GROUP_WORDS = 256
+#: Words that one task of it places, about.
+TASK_WORDS = 4_096
 SHAPES = 64
 #: The value of the end token; no word's, but for a chance of 2^-64.
 END = np.uint64(0x454E44)
@@ -315,8 +317,10 @@ def best_classes(contexts: DataFrame, classes: Classes, between: np.ndarray) ->
             out[i] = best if value[best] > value[own] + 1e-9 else own
         return pd.DataFrame({"place": found, "kind": out})
 
-    group = F.floor(F.col("key") / F.lit(width * GROUP_WORDS)).alias("words")
-    moved = contexts.where("key >= 0").groupBy(group).applyInPandas(place_words, "place long, kind long").toPandas()
+    grouped = contexts.where("key >= 0").withColumn("words", F.floor(F.col("key") / F.lit(width * GROUP_WORDS)))
+    # Few bytes but much to compute: a stated number of tasks, by the size of the head, is not coalesced.
+    tasks = max(1, -(-len(classes.words) // TASK_WORDS))
+    moved = grouped.repartition(tasks, "words").groupBy("words").applyInPandas(place_words, "place long, kind long").toPandas()
     of_word = classes.of_word.copy()
     of_word[moved["place"].to_numpy(dtype=np.int64)] = moved["kind"].to_numpy(dtype=np.int64)
     return of_word
