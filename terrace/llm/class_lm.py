@@ -10,6 +10,9 @@ sweep with the highest likelihood stay. Words beyond the head, rarer than all in
 that training has not seen are in the class of their shape, which is clustered by its contexts.
 All words of the training documents count: word counts, contexts and class sizes cover every token.
 
+Texts are read twice: for the word counts, and to write every text as codes, a word's place in the head or else its
+shape. Units, classes and scores are tables over codes, so all further readings are of codes and look nothing up.
+
 What a task holds is bounded: the head of the vocabulary (``head_words`` words and counts,
 broadcast, 16 bytes each), a matrix over units, and a few megabytes of text. Counts of
 words beyond the head stay in a table; a document's words beyond the head meet it by a join
@@ -27,9 +30,11 @@ from dataclasses import dataclass, replace
 
 import numpy as np
 import pandas as pd
+import pyarrow as pa
 from pyspark import TaskContext
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.types import StructType
 
 from terrace.llm.hashing import Words, chunks, words_of
 from terrace.llm.tables import stored
@@ -47,8 +52,15 @@ SHAPES = 64
 #: The value of the end token; no word's, but for a chance of 2^-64.
 END = np.uint64(0x454E44)
 FLUSH = 1_000_000
+#: Contexts that a task sorts at once.
+SORTED_KEYS = 1 << 22
+#: Units whose counts travel in one row.
+BLOCK_UNITS = 64
 SMOOTH = 0.5
-ROWS = "row long, doc_id long, n_tokens long, n_known long, counts double, classes double, rest array<struct<word:long,n:long>>"
+#: The code of the end token; words of the head have their place, others -1 - shape.
+END_CODE = -1 - SHAPES
+#: ``rest`` has a text's words beyond the head, each once, and ``times`` how often it holds them.
+CODED = "row long, codes binary, rest array<long>, times array<long>"
 
 
 def shape_of(found: Words) -> np.ndarray:
@@ -89,66 +101,100 @@ def word_counts(texts: DataFrame) -> DataFrame:
     return texts.mapInPandas(count, "word long, shape int, n long").groupBy("word").agg(F.max("shape").alias("shape"), F.sum("n").alias("n"))
 
 
-@dataclass
-class Units:
-    """Units: the end token, then frequent words, then shapes. ``order`` and ``number`` find a word's unit."""
-
-    order: np.ndarray
-    number: np.ndarray
-
-    @classmethod
-    def of(cls, words: np.ndarray) -> Units:
-        order = np.argsort(words, kind="stable")
-        return cls(words[order], order + 1)
-
-    @property
-    def size(self) -> int:
-        return 1 + len(self.order) + SHAPES
-
-    def __call__(self, found: Words) -> np.ndarray:
-        out = 1 + len(self.order) + shape_of(found)
-        if len(self.order):
-            at = np.minimum(np.searchsorted(self.order, found.value), len(self.order) - 1)
-            hit = self.order[at] == found.value
-            out[hit] = self.number[at[hit]]
-        return out
-
-    def sequence(self, found: Words, texts: int) -> tuple[np.ndarray, np.ndarray]:
-        """Units of all texts, each between end tokens; and where each text's first token stands."""
-        begin = found.bounds[:-1] + np.arange(texts) + 1
-        out = np.zeros(len(found.value) + texts + 1, dtype=np.int64)
-        keep = np.ones(len(out), dtype=bool)
-        keep[0] = False
-        keep[begin + np.diff(found.bounds)] = False
-        out[keep] = self(found)
-        return out, begin
-
-
-def unit_bigrams(texts: DataFrame, units: Units) -> np.ndarray:
-    """counts[before, unit] over all texts."""
-    size = units.size
+def codes_of(found: Words, texts: int, words: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Codes of all texts, an end after each; and which of the words are beyond the head."""
+    code = -1 - shape_of(found).astype(np.int32)
+    beyond = np.ones(len(code), dtype=bool)
+    if len(words):
+        at = np.minimum(np.searchsorted(words, found.value), len(words) - 1)
+        beyond = words[at] != found.value
+        code = np.where(beyond, code, at.astype(np.int32))
+    out = np.full(len(code) + texts, END_CODE, dtype=np.int32)
+    keep = np.ones(len(out), dtype=bool)
+    keep[found.bounds[1:] + np.arange(texts)] = False
+    out[keep] = code
+    return out, beyond
+
+
+def by_code(of_head: np.ndarray, of_end: float, of_shape: np.ndarray) -> np.ndarray:
+    """A table over codes; negative ones count from its end."""
+    return np.r_[of_head, of_end, of_shape[::-1]]
+
+
+def encoded(texts: DataFrame, words: np.ndarray) -> DataFrame:
+    """The columns beside ``text``, and every text as codes by the head's sorted ``words``."""
+    others = [f.name for f in texts.schema if f.name != "text"]
+    sent = texts.sparkSession.sparkContext.broadcast(words)
+
+    def encode(batches):
+        head, row = sent.value, TaskContext.get().partitionId() << 40
+        for batch in batches:
+            whole = pd.DataFrame({"text": pd.Series(batch.column("text").to_pylist(), dtype=object)})
+            for frame in chunks([whole]):
+                n = len(frame)
+                found = words_of(frame["text"].tolist())
+                codes, beyond = codes_of(found, n, head)
+                bounds = found.bounds + np.arange(n + 1)
+                doc, word = np.repeat(np.arange(n), np.diff(found.bounds))[beyond], found.value[beyond].astype(np.int64)
+                order = np.lexsort((word, doc))
+                doc, word = doc[order], word[order]
+                first = np.flatnonzero(np.r_[True, (doc[1:] != doc[:-1]) | (word[1:] != word[:-1])][: len(doc)])
+                lists = pa.array(np.searchsorted(doc[first], np.arange(n + 1)).astype(np.int32))
+                own = [
+                    pa.array(row + np.arange(n)),
+                    pa.Array.from_buffers(pa.binary(), n, [None, pa.py_buffer((4 * bounds).astype(np.int32)), pa.py_buffer(codes)]),
+                    pa.ListArray.from_arrays(lists, pa.array(word[first])),
+                    pa.ListArray.from_arrays(lists, pa.array(np.diff(np.r_[first, len(doc)]).astype(np.int64))),
+                ]
+                kept = batch.slice(int(frame.index[0]), n)
+                yield pa.RecordBatch.from_arrays([kept.column(name) for name in others] + own, names=[*others, "row", "codes", "rest", "times"])
+                row += n
+
+    schema = StructType([f for f in texts.schema if f.name != "text"] + StructType.fromDDL(CODED).fields)
+    return texts.mapInArrow(encode, schema)
+
+
+def sequence(codes: list[bytes]) -> np.ndarray:
+    """Codes of texts one after another, each between end tokens."""
+    return np.r_[np.int32(END_CODE), np.frombuffer(b"".join(codes), dtype=np.int32)]
+
+
+def packed(counts: np.ndarray) -> bytes:
+    """Whole numbers in as many bytes each as the largest needs."""
+    return counts.astype(np.min_scalar_type(int(counts.max(initial=0)))).tobytes()
+
+
+def unpacked(data: bytes, size: int) -> np.ndarray:
+    return np.frombuffer(data, dtype=f"u{len(data) // size}")
+
+
+def unit_bigrams(coded: DataFrame, unit: np.ndarray, size: int) -> np.ndarray:
+    """counts[before, unit] over all texts; ``unit`` has the unit of every code."""
+    sent = coded.sparkSession.sparkContext.broadcast(unit)
 
     def count(frames):
-        total = np.zeros((size, size), dtype=np.int64)
-        for frame in chunks(frames):
-            sequence, _ = units.sequence(words_of(frame["text"].tolist()), len(frame))
-            total += np.bincount(sequence[:-1] * size + sequence[1:], minlength=size * size).reshape(size, size)
-        seen = np.flatnonzero(total.any(axis=1))
-        kind = np.uint32 if total.max(initial=0) < 1 << 32 else np.uint64
-        yield pd.DataFrame({"before": seen, "bytes": kind().itemsize, "counts": [total[i].astype(kind).tobytes() for i in seen]})
+        own, total = sent.value, np.zeros(size * size, dtype=np.int64)
+        for frame in frames:
+            units = own[sequence(frame["codes"].tolist())]
+            total += np.bincount(units[:-1] * size + units[1:], minlength=size * size)
+        blocks = [(first, total[first * size : (first + BLOCK_UNITS) * size]) for first in range(0, size, BLOCK_UNITS)]
+        blocks = [(first, block) for first, block in blocks if block.any()]
+        yield pd.DataFrame({"before": [first for first, _ in blocks], "counts": [packed(block) for _, block in blocks]})
 
     def add(rows: pd.DataFrame) -> pd.DataFrame:
-        total = np.zeros(size, dtype=np.int64)
-        for width, counts in zip(rows["bytes"], rows["counts"], strict=True):
-            total += np.frombuffer(counts, dtype=f"<u{width}").astype(np.int64)
-        return pd.DataFrame({"before": [rows["before"].iloc[0]], "bytes": [8], "counts": [total.tobytes()]})
-
-    # Two steps of sums: no task holds more than some hundred rows of a unit.
-    partial = texts.mapInPandas(count, "before long, bytes int, counts binary").withColumn("part", F.pmod(F.xxhash64("counts"), F.lit(64)))
-    once = partial.groupBy("before", "part").applyInPandas(add, "before long, bytes int, counts binary")
+        first = rows["before"].iloc[0]
+        total = np.zeros(size * min(BLOCK_UNITS, size - first), dtype=np.int64)
+        for counts in rows["counts"]:
+            total += unpacked(counts, len(total)).astype(np.int64)
+        return pd.DataFrame({"before": [first], "counts": [packed(total)]})
+
+    # Two steps of sums: no task holds more than some hundred rows of a block.
+    partial = coded.select("codes").mapInPandas(count, "before long, counts binary").withColumn("part", F.pmod(F.xxhash64("counts"), F.lit(64)))
+    once = partial.groupBy("before", "part").applyInPandas(add, "before long, counts binary")
     out = np.zeros((size, size), dtype=np.int64)
-    for row in once.groupBy("before").applyInPandas(add, "before long, bytes int, counts binary").collect():
-        out[row["before"]] = np.frombuffer(row["counts"], dtype=np.int64)
+    for row in once.groupBy("before").applyInPandas(add, "before long, counts binary").collect():
+        block = out[row["before"] : row["before"] + BLOCK_UNITS]
+        block[:] = unpacked(row["counts"], block.size).reshape(block.shape)
     return out
 
 
@@ -171,6 +217,40 @@ def placement_values(between: np.ndarray, after: np.ndarray, before: np.ndarray,
     return value
 
 
+def best_places(between: np.ndarray, own: np.ndarray, after: np.ndarray, before: np.ndarray, itself: np.ndarray) -> np.ndarray:
+    """The best class of each of many words, which stand in ``own``: ``placement_values`` for all at once.
+
+    Every word has a line in ``after`` and ``before``, without itself. What it leaves behind differs from ``between`` only
+    in the row and the column of its own class, so only these are computed anew.
+    """
+    line, fixed = np.arange(len(own)), _xlogx(between)
+    follow, lead = after.sum(axis=1), before.sum(axis=1)
+    out, into = between.sum(axis=1) - before, between.sum(axis=0) - after
+    out[line, own] -= follow + itself
+    into[line, own] -= lead + itself
+    both = np.tile(between.diagonal(), (len(own), 1))
+    both[line, own] -= after[line, own] + before[line, own] + itself
+    value = _xlogx(both + after + before + itself[:, None]) - _xlogx(both)
+    value -= _xlogx(out + (follow + itself)[:, None]) - _xlogx(out) + _xlogx(into + (lead + itself)[:, None]) - _xlogx(into)
+    for side, other, rest, known in ((after, before, between.T, fixed.T), (before, after, between, fixed)):
+        word, beside = np.nonzero(side)
+        if not len(word):
+            continue
+        n, each, home = side[word, beside], np.arange(len(word)), own[word]
+        left, low = rest[beside], known[beside]
+        same = np.flatnonzero(beside == home)
+        left[each, home] -= n
+        left[same] -= other[word[same]]
+        low[each, home] = _xlogx(left[each, home])
+        low[same] = _xlogx(np.maximum(left[same], 0))
+        gain = _xlogx(left + n[:, None]) - low
+        gain[each, beside] = 0
+        found, first = np.unique(word, return_index=True)
+        value[found] += np.add.reduceat(gain, first, axis=0)
+    best = value.argmax(axis=1)
+    return np.where(value[line, best] > value[line, own] + 1e-9, best, own)
+
+
 def information(between: np.ndarray) -> float:
     """The part of the corpus' log likelihood that the classes decide."""
     return float(_xlogx(between).sum() - _xlogx(between.sum(axis=1)).sum() - _xlogx(between.sum(axis=0)).sum())
@@ -223,126 +303,120 @@ class Classes:
     end: int
     number: int
 
-    def sequence(self, found: Words, texts: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-        """Classes of all texts, each between end tokens; each token's place in the head, or -1; where each text's first token stands."""
-        place = np.full(len(found.value), -1, dtype=np.int64)
-        kind = self.of_shape[shape_of(found)]
-        if len(self.words):
-            at = np.minimum(np.searchsorted(self.words, found.value), len(self.words) - 1)
-            hit = self.words[at] == found.value
-            place[hit] = at[hit]
-            kind[hit] = self.of_word[at[hit]]
-        begin = found.bounds[:-1] + np.arange(texts) + 1
-        keep = np.ones(len(found.value) + texts + 1, dtype=bool)
-        keep[0] = False
-        keep[begin + np.diff(found.bounds)] = False
-        kinds, places = np.full(len(keep), self.end, dtype=np.int64), np.full(len(keep), -1, dtype=np.int64)
-        kinds[keep], places[keep] = kind, place
-        return kinds, places, begin
+    def by_code(self) -> np.ndarray:
+        return by_code(self.of_word, self.end, self.of_shape).astype(np.int64)
 
 
 def class_contexts(texts: DataFrame, classes: Classes, words: bool = True) -> DataFrame:
-    """(key, n): class bigrams under key -1 - (before * classes + after), and, unless ``words`` is False, for each word
-    of the head under key place * (2 * classes + 1) + slot: classes before it, classes after it, itself after it."""
-    sent = texts.sparkSession.sparkContext.broadcast(classes)
+    """Class bigrams as (pair, n), with before * classes + after as pair; and, unless ``words`` is False, rows with how
+    often words of the head meet their slots: classes before it, classes after it, itself after it. Such a row has a group
+    of ``GROUP_WORDS`` places, the different (place in the group) * (2 * classes + 1) + slot, and as many counts, packed.
+    ``texts`` has codes by the classes' words, or texts."""
+    coded = texts if "codes" in texts.columns else encoded(texts.select("text"), classes.words)
+    sent = texts.sparkSession.sparkContext.broadcast((classes.by_code(), classes.number, len(classes.words)))
 
     def count(frames):
-        own = sent.value
-        number, width = own.number, 2 * own.number + 1
+        kind, number, head = sent.value
+        width = 2 * number + 1
+        span, wide = width * GROUP_WORDS, np.int32 if head * width < 1 << 31 else np.int64
+        starts = np.arange(-(-head // GROUP_WORDS) + 1) * span
+        slots = np.min_scalar_type(span - 1)
         between = np.zeros(number * number, dtype=np.int64)
-        held: list[tuple[np.ndarray, np.ndarray]] = []
-        size = 0
-
-        def merged():
-            key, n = (np.concatenate(x) for x in zip(*held, strict=True))
-            keys, place = np.unique(key, return_inverse=True)
-            return keys, np.bincount(place, n, len(keys)).astype(np.int64)
-
-        for frame in chunks(frames):
-            kinds, places, _ = own.sequence(words_of(frame["text"].tolist()), len(frame))
+        held: list[np.ndarray] = []
+
+        def rows():
+            keys, n = np.unique(np.concatenate(held), return_counts=True)
+            cut = np.searchsorted(keys, starts)
+            groups = np.flatnonzero(np.diff(cut))
+            keys = (keys % span).astype(slots)
+            parts = [slice(cut[g], cut[g + 1]) for g in groups.tolist()]
+            return pd.DataFrame({"words": groups, "slots": [keys[p].tobytes() for p in parts], "counts": [packed(n[p]) for p in parts], "pair": -1, "n": 0})
+
+        for frame in frames:
+            codes = sequence(frame["codes"].tolist())
+            kinds = kind[codes]
             between += np.bincount(kinds[:-1] * number + kinds[1:], minlength=number * number)
             if not words:
                 continue
-            at = np.flatnonzero(places >= 0)
-            first = places[at] * width
-            twice = places[at] == places[at + 1]
-            keys = np.concatenate([first + kinds[at - 1], first + number + kinds[at + 1], first[twice] + 2 * number])
-            held.append(np.unique(keys, return_counts=True))
-            size += len(held[-1][0])
-            if size > FLUSH:
-                held = [merged()]
-                size = len(held[0][0])
-                if size > FLUSH // 2:
-                    yield pd.DataFrame({"key": held[0][0], "n": held[0][1]})
-                    held, size = [], 0
-        if held:
-            keys, n = merged()
-            yield pd.DataFrame({"key": keys, "n": n})
+            at = np.flatnonzero(codes >= 0)
+            first = codes[at].astype(wide) * wide(width)
+            twice = codes[at] == codes[at + 1]
+            beside = kinds.astype(wide)
+            held.append(np.concatenate([first + beside[at - 1], first + beside[at + 1] + wide(number), first[twice] + wide(2 * number)]))
+            if sum(map(len, held)) > SORTED_KEYS:
+                yield rows()
+                held = []
+        if sum(map(len, held)):
+            yield rows()
         seen = np.flatnonzero(between)
-        yield pd.DataFrame({"key": -1 - seen, "n": between[seen]})
+        yield pd.DataFrame({"words": -1, "slots": b"", "counts": b"", "pair": seen, "n": between[seen]})
 
-    return texts.mapInPandas(count, "key long, n long").groupBy("key").agg(F.sum("n").alias("n"))
+    return coded.select("codes").mapInPandas(count, "words long, slots binary, counts binary, pair long, n long")
 
 
 def class_bigrams(contexts: DataFrame, number: int) -> np.ndarray:
     out = np.zeros(number * number)
-    for row in contexts.where("key < 0").collect():
-        out[-1 - row["key"]] = row["n"]
+    for row in contexts.where("pair >= 0").groupBy("pair").agg(F.sum("n").alias("n")).collect():
+        out[row["pair"]] = row["n"]
     return out.reshape(number, number)
 
 
 def best_classes(contexts: DataFrame, classes: Classes, between: np.ndarray) -> np.ndarray:
     """The best class of each word of the head, while all others stay where they are."""
     number, width = classes.number, 2 * classes.number + 1
-    sent = contexts.sparkSession.sparkContext.broadcast((classes.of_word.astype(np.int16), between))
+    sent = contexts.sparkSession.sparkContext.broadcast((classes.of_word, between))
+    slots_type = np.min_scalar_type(width * GROUP_WORDS - 1)
 
-    def place_words(rows: pd.DataFrame) -> pd.DataFrame:
+    def place_words(frames):
         of_word, between = sent.value
-        word, slot = np.divmod(rows["key"].to_numpy(), width)
-        found, line = np.unique(word, return_inverse=True)
-        table = np.zeros((len(found), width))
-        table[line, slot] = rows["n"]
-        out = np.empty(len(found), dtype=np.int64)
-        for i, place in enumerate(found.tolist()):
-            own, itself = int(of_word[place]), table[i, -1]
-            before, after = table[i, :number], table[i, number:-1]
-            before[own] -= itself
-            after[own] -= itself
-            rest = between.copy()
-            rest[own] -= after
-            rest[:, own] -= before
-            rest[own, own] -= itself
-            value = placement_values(rest, after, before, itself)
-            best = int(value.argmax())
-            out[i] = best if value[best] > value[own] + 1e-9 else own
-        return pd.DataFrame({"place": found, "kind": out})
 
-    grouped = contexts.where("key >= 0").withColumn("words", F.floor(F.col("key") / F.lit(width * GROUP_WORDS)))
-    # Few bytes but much to compute: a stated number of tasks, by the size of the head, is not coalesced.
+        def placed(group: int, sums: np.ndarray) -> pd.DataFrame:
+            table = sums.reshape(GROUP_WORDS, width)
+            found = np.flatnonzero(table.any(axis=1))
+            places, line = group * GROUP_WORDS + found, np.arange(len(found))
+            own, before, after, itself = of_word[places], table[found, :number], table[found, number:-1], table[found, -1]
+            before[line, own] -= itself
+            after[line, own] -= itself
+            return pd.DataFrame({"place": places, "kind": best_places(between, own, after, before, itself)})
+
+        group, sums = None, None
+        for frame in frames:
+            for words, slots, counts in zip(frame["words"].tolist(), frame["slots"], frame["counts"], strict=True):
+                if words != group:
+                    if group is not None:
+                        yield placed(group, sums)
+                    group, sums = words, np.zeros(GROUP_WORDS * width)
+                at = np.frombuffer(slots, dtype=slots_type)
+                sums[at] += unpacked(counts, len(at))
+        if group is not None:
+            yield placed(group, sums)
+
+    # Few bytes but much to compute: a stated number of tasks, by the size of the head, is not coalesced. The rows of a
+    # group come one after another, so a task holds the sums of one group, however many rows it has.
     tasks = max(1, -(-len(classes.words) // TASK_WORDS))
-    moved = grouped.repartition(tasks, "words").groupBy("words").applyInPandas(place_words, "place long, kind long").toPandas()
+    grouped = contexts.where("words >= 0").select("words", "slots", "counts").repartition(tasks, "words").sortWithinPartitions("words")
+    moved = grouped.mapInPandas(place_words, "place long, kind long").toPandas()
     of_word = classes.of_word.copy()
     of_word[moved["place"].to_numpy(dtype=np.int64)] = moved["kind"].to_numpy(dtype=np.int64)
     return of_word
 
 
-def exchange_head(texts: DataFrame, classes: Classes, sweeps: int = HEAD_SWEEPS) -> tuple[Classes, np.ndarray]:
+def exchange_head(coded: DataFrame, classes: Classes, sweeps: int = HEAD_SWEEPS) -> tuple[Classes, np.ndarray]:
     """The classes after sweeps over all words of the head, and their bigrams over all texts.
 
     The words of a sweep move at once, each as if it alone did, so a sweep can lower the likelihood; the sweeps then
-    end and the classes before it stay. A sweep is one reading of the texts; the driver gets one number per word.
+    end and the classes before it stay. A sweep is two readings of the codes, one for the bigrams and one for the
+    contexts; the driver gets one number per word.
     """
     best = None
     for left in range(sweeps, -1, -1):
-        wanted = left > 0 and len(classes.words) > 0
-        contexts = stored(class_contexts(texts, classes, wanted), "class-contexts")
-        between = class_bigrams(contexts, classes.number)
+        between = class_bigrams(class_contexts(coded, classes, words=False), classes.number)
         if best is not None and information(between) <= information(best[1]):
             break
         best = classes, between
-        if not wanted:
+        if left == 0 or not len(classes.words):
             break
-        of_word = best_classes(contexts, classes, between)
+        of_word = best_classes(class_contexts(coded, classes), classes, between)
         if (of_word == classes.of_word).all():
             break
         classes = replace(classes, of_word=of_word)
@@ -380,26 +454,34 @@ def most_frequent(counts: DataFrame, most: int) -> pd.DataFrame:
     return found.sort_values(["n", "word"], ascending=[False, True], kind="stable").reset_index(drop=True)
 
 
-def train_class_model(
-    texts: DataFrame,
-    head_words: int = HEAD_WORDS,
+def head_of(counts: DataFrame, head_words: int = HEAD_WORDS) -> tuple[pd.DataFrame, np.ndarray]:
+    """The most frequent words, and their sorted values, whose places are their codes."""
+    head = most_frequent(counts.where(F.col("word") != int(END)), head_words)
+    head["value"] = head["word"].to_numpy(dtype=np.int64).astype(np.uint64)
+    return head, np.sort(head["value"].to_numpy())
+
+
+def train_on_codes(
+    coded: DataFrame,
+    counts: DataFrame,
+    head: pd.DataFrame,
     unit_words: int = UNIT_WORDS,
     classes: int = CLASSES,
     sweeps: int = SWEEPS,
     head_sweeps: int = HEAD_SWEEPS,
-) -> tuple[ClassModel, DataFrame]:
-    """The model, and the table of all word counts. ``texts`` has the training texts in column ``text``."""
-    counts = stored(word_counts(texts), "word-counts")
+) -> ClassModel:
+    """The model of texts in codes by the head of their word counts."""
     by_shape = counts.groupBy((F.col("word") == int(END)).alias("end"), "shape").agg(F.sum("n").alias("n"), F.count("*").alias("words")).collect()
-    head = most_frequent(counts.where(F.col("word") != int(END)), head_words)
-    values = head["word"].to_numpy(dtype=np.int64).astype(np.uint64)
-    shapes, seen = head["shape"].to_numpy(dtype=np.int64), head["n"].to_numpy(dtype=np.int64)
-    units = Units.of(values[:unit_words])
-    of = exchange(unit_bigrams(texts, units), classes, sweeps)
-    of_shape = of[1 + len(units.order) :]
-    of_head = np.r_[of[1 : 1 + len(units.order)], of_shape[shapes[len(units.order) :]]]
+    values, shapes, seen = (head[name].to_numpy() for name in ("value", "shape", "n"))
+    shapes, seen = shapes.astype(np.int64), seen.astype(np.int64)
+    # Units: the end token, then frequent words, then shapes.
+    most = len(values[:unit_words])
     order = np.argsort(values, kind="stable")
-    known, between = exchange_head(texts, Classes(values[order], of_head[order], of_shape, int(of[0]), classes), head_sweeps)
+    of_head = np.r_[1 + np.arange(most), 1 + most + shapes[most:]].astype(np.int64)
+    size = 1 + most + SHAPES
+    of = exchange(unit_bigrams(coded, by_code(of_head[order], 0, 1 + most + np.arange(SHAPES)), size), classes, sweeps)
+    of_shape = of[1 + most :]
+    known, between = exchange_head(coded, Classes(values[order], of[of_head[order]], of_shape, int(of[0]), classes), head_sweeps)
     transition = np.log10((between + SMOOTH) / (between.sum(axis=1, keepdims=True) + SMOOTH * classes))
 
     # Tokens and words per class: the end token, shapes without their words of the head, and these by themselves.
@@ -412,79 +494,82 @@ def train_class_model(
     kind_tokens[1:] -= np.bincount(shapes, seen, SHAPES)
     kind_words[1:] -= np.bincount(shapes, minlength=SHAPES)
     per_class = lambda own, words: np.bincount(of_kind, np.r_[own, words], classes)
-    model = ClassModel(
+    return ClassModel(
         known, transition, per_class(kind_tokens, seen[order]), per_class(kind_words, np.ones(len(order))), seen[order],
         int(sum(r["n"] for r in by_shape)), int(sum(r["words"] for r in by_shape)), int(sum(r["n"] for r in by_shape if r["end"])),
     )
-    return model, counts
 
 
-def score_documents(documents: DataFrame, model: ClassModel, counts: DataFrame, doc_id: str = "doc_id", text: str = "text") -> DataFrame:
+def train_class_model(texts: DataFrame, head_words: int = HEAD_WORDS, **settings) -> tuple[ClassModel, DataFrame]:
+    """The model, and the table of all word counts. ``texts`` has the training texts in column ``text``."""
+    counts = stored(word_counts(texts), "word-counts")
+    head, words = head_of(counts, head_words)
+    return train_on_codes(stored(encoded(texts.select("text"), words), "codes"), counts, head, **settings), counts
+
+
+def score_codes(coded: DataFrame, model: ClassModel, counts: DataFrame) -> DataFrame:
     """(doc_id, n_tokens, n_known, train_tokens, base_score, score) of every row; scores are log10 chances."""
-    sent = documents.sparkSession.sparkContext.broadcast(model)
+    none = np.zeros(SHAPES)
+    tables = (
+        model.classes.by_code(), model.transition - model.emission_total(),
+        by_code(np.log10(model.head_counts + SMOOTH), np.log10(model.ends + SMOOTH), none),
+        by_code(np.ones(len(model.head_counts)), float(model.ends > 0), none),
+    )
+    sent = coded.sparkSession.sparkContext.broadcast(tables)
 
-    def score(frames):
-        m, row = sent.value, TaskContext.get().partitionId() << 40
-        divided, log_counts = m.emission_total(), np.log10(m.head_counts + SMOOTH)
-        for frame in chunks(frames):
-            n = len(frame)
-            found = words_of(frame["text"].tolist())
-            which = np.repeat(np.arange(n), np.diff(found.bounds))
-            kind, places, begin = m.classes.sequence(found, n)
-            step = np.r_[0.0, np.cumsum(m.transition[kind[:-1], kind[1:]] - divided[kind[1:]])]
-            size = np.diff(found.bounds) + 1
-            last = begin + size - 1
-            classes = step[last] - step[begin - 1]
-            keep = np.ones(len(places), dtype=bool)
-            keep[np.r_[0, last]] = False
-            at = places[keep]
-            hit = at >= 0
-            end = np.log10(m.ends + SMOOTH)
-            counted = np.bincount(which[hit], log_counts[at[hit]], n) + end
-            known = np.bincount(which[hit], minlength=n) + (m.ends > 0)
-            pairs = pd.DataFrame({"doc": which[~hit], "word": found.value[~hit].astype(np.int64)}).groupby(["doc", "word"], sort=True).size().reset_index(name="n")
-            cut = np.searchsorted(pairs["doc"].to_numpy(), np.arange(n + 1))
-            listed = list(zip(pairs["word"].tolist(), pairs["n"].tolist(), strict=True))
-            yield pd.DataFrame(
-                {
-                    "row": row + np.arange(n), "doc_id": frame["doc_id"], "n_tokens": size, "n_known": known, "counts": counted, "classes": classes,
-                    "rest": [[{"word": w, "n": c} for w, c in listed[cut[i] : cut[i + 1]]] for i in range(n)],
-                }
+    def score(batches):
+        kind, step, log_counts, known = sent.value
+        for batch in batches:
+            texts = batch.column("codes").to_pylist()
+            if not texts:
+                continue
+            size = np.array([len(t) >> 2 for t in texts], dtype=np.int64)
+            first = np.cumsum(size) - size
+            codes = sequence(texts)
+            kinds = kind[codes]
+            total = lambda x: np.add.reduceat(x, first)  # noqa: B023, E731
+            yield pa.RecordBatch.from_arrays(
+                [
+                    batch.column("row"), batch.column("doc_id"), pa.array(size), pa.array(total(known[codes[1:]]).astype(np.int64)),
+                    pa.array(total(log_counts[codes[1:]])), pa.array(total(step[kinds[:-1], kinds[1:]])),
+                ],
+                names=["row", "doc_id", "n_tokens", "n_known", "counts", "classes"],
             )
-            row += n
 
-    chosen = documents.select(F.col(doc_id).cast("long").alias("doc_id"), F.col(text).alias("text"))
-    scored = stored(chosen.mapInPandas(score, ROWS), "scored")
-    # The first element carries what the head has told; the others are words beyond it.
-    kinds = "struct<doc_id:bigint,n_tokens:bigint,n_known:bigint,counts:double,classes:double>"
-    first = F.struct(F.lit(None).cast("long").alias("word"), F.lit(0).cast("long").alias("n"), F.struct("doc_id", "n_tokens", "n_known", "counts", "classes").cast(kinds).alias("told"))
-    others = F.transform("rest", lambda x: F.struct(x["word"].alias("word"), x["n"].alias("n"), F.lit(None).cast(kinds).alias("told")))
-    opened = scored.select("row", F.explode(F.concat(F.array(first), others)).alias("x")).select("row", "x.*")
+    told = coded.select("row", "doc_id", "codes").mapInArrow(score, "row long, doc_id long, n_tokens long, n_known long, counts double, classes double")
     beyond = counts.select("word", F.col("n").alias("seen"))
     if len(model.head_counts):
         beyond = beyond.where(F.col("seen") <= int(model.head_counts.min()))
-    rows = (
-        opened.join(beyond, "word", "left")
-        .groupBy("row")
-        .agg(
-            F.first("told", ignorenulls=True).alias("told"),
-            F.sum(F.when(F.col("seen").isNotNull(), F.col("n")).otherwise(0)).alias("more_known"),
-            F.sum(F.col("n") * F.log10(F.coalesce("seen", F.lit(0)) + F.lit(SMOOTH))).alias("more"),
-        )
+    # What the head has told of a text, and its words beyond the head, each once, meet by the text's row.
+    opened = coded.select("row", F.explode(F.arrays_zip("rest", "times")).alias("x")).select("row", F.col("x.rest").alias("word"), F.col("x.times").alias("n"))
+    others = opened.join(beyond, "word", "left").select(
+        "row",
+        F.when(F.col("seen").isNotNull(), F.col("n")).otherwise(0).alias("n_known"),
+        (F.col("n") * F.log10(F.coalesce("seen", F.lit(0)) + F.lit(SMOOTH))).alias("counts"),
     )
+    rows = told.unionByName(others, allowMissingColumns=True).groupBy("row")
+    rows = rows.agg(*[F.max(name).alias(name) for name in ("doc_id", "n_tokens", "classes")], *[F.sum(name).alias(name) for name in ("n_known", "counts")])
     total = float(np.log10(model.tokens + SMOOTH * (model.words + 1)))
-    counted = F.col("told.counts") + F.col("more")
     return rows.select(
-        "told.doc_id",
-        "told.n_tokens",
-        (F.col("told.n_known") + F.col("more_known")).alias("n_known"),
+        "doc_id",
+        "n_tokens",
+        "n_known",
         F.lit(model.tokens).cast("long").alias("train_tokens"),
-        (counted - F.col("told.n_tokens") * total).alias("base_score"),
-        (counted + F.col("told.classes")).alias("score"),
+        (F.col("counts") - F.col("n_tokens") * total).alias("base_score"),
+        (F.col("counts") + F.col("classes")).alias("score"),
     )
 
 
-def class_scores(documents: DataFrame, learn: Column, doc_id: str = "doc_id", text: str = "text", **settings) -> DataFrame:
-    """Scores of all documents by a model of those for which ``learn`` holds."""
-    model, counts = train_class_model(documents.where(learn).select(F.col(text).alias("text")), **settings)
-    return score_documents(documents, model, counts, doc_id, text)
+def score_documents(documents: DataFrame, model: ClassModel, counts: DataFrame, doc_id: str = "doc_id", text: str = "text") -> DataFrame:
+    """``score_codes`` of texts."""
+    chosen = documents.select(F.col(doc_id).cast("long").alias("doc_id"), F.col(text).alias("text"))
+    return score_codes(stored(encoded(chosen, model.classes.words), "codes"), model, counts)
+
+
+def class_scores(documents: DataFrame, learn: Column, doc_id: str = "doc_id", text: str = "text", head_words: int = HEAD_WORDS, **settings) -> DataFrame:
+    """Scores of all documents by a model of those for which ``learn`` holds; each text is written as codes once."""
+    counts = stored(word_counts(documents.where(learn).select(F.col(text).alias("text"))), "word-counts")
+    head, words = head_of(counts, head_words)
+    chosen = documents.select(F.col(doc_id).cast("long").alias("doc_id"), F.coalesce(learn, F.lit(False)).alias("learn"), F.col(text).alias("text"))
+    coded = stored(encoded(chosen, words), "codes")
+    return score_codes(coded, train_on_codes(coded.where("learn"), counts, head, **settings), counts)

@@ -119,3 +119,68 @@ def test_no_training_texts(spark):
     frame = spark.createDataFrame([(1, "a b"), (2, None)], "doc_id long, text string")
     got = class_lm.class_scores(frame, frame.doc_id > 5).collect()
     assert {(r.doc_id, r.n_tokens, r.n_known, r.train_tokens, r.base_score) for r in got} == {(1, 3, 0, 0, 0.0), (2, 1, 0, 0, 0.0)}
+
+
+def test_texts_are_read_twice(spark):
+    """For the word counts, and to be written as codes; sweeps and scores read codes (the texts were read four times here, six times in longer runs)."""
+    frame = spark.createDataFrame(corpus(), "doc_id long, text string").repartition(3)
+    read = spark.sparkContext.accumulator(0)
+
+    def told(frames):
+        for rows in frames:
+            read.add(len(rows))
+            yield rows
+
+    texts = frame.mapInPandas(told, frame.schema)
+    got = class_lm.class_scores(texts, class_lm.F.lit(True), **SETTINGS).collect()
+    assert len(got) == frame.count() and read.value == 2 * frame.count()
+
+
+def test_large_ids_beside_none(spark):
+    """A batch of ids with a null among them once went through doubles."""
+    big = (1 << 53) + 1
+    frame = spark.createDataFrame([(big, "a b"), (None, "a"), (big + 2, "b c c")], "doc_id long, text string").coalesce(1)
+    got = class_lm.class_scores(frame, class_lm.F.lit(True), **SETTINGS).collect()
+    assert {(r.doc_id, r.n_tokens, r.n_known) for r in got} == {(big, 3, 3), (None, 2, 2), (big + 2, 4, 4)}
+
+
+@pytest.mark.parametrize("number", [2, 5, 12])
+def test_many_words_are_placed_as_one_by_one(number):
+    dice = np.random.default_rng(number)
+    line = dice.integers(0, 30, 3_000)
+    of = np.r_[dice.integers(0, number, 28), 0, 0]
+    own, after, before, itself, want = [], [], [], [], []
+    kinds = of[line]
+    between = np.zeros((number, number))
+    np.add.at(between, (kinds[:-1], kinds[1:]), 1)
+    for word in range(31):  # the last is in no text
+        follow, lead = kinds[1:][(line[:-1] == word) & (line[1:] != word)], kinds[:-1][(line[1:] == word) & (line[:-1] != word)]
+        a, b = np.bincount(follow, minlength=number).astype(float), np.bincount(lead, minlength=number).astype(float)
+        twice, home = float(((line[:-1] == word) & (line[1:] == word)).sum()), int(of[word]) if word < 30 else 1
+        rest = between.copy()
+        rest[home] -= a
+        rest[:, home] -= b
+        rest[home, home] -= twice
+        value = class_lm.placement_values(rest, a, b, twice)
+        best = int(value.argmax())
+        want.append(best if value[best] > value[home] + 1e-9 else home)
+        own, after, before, itself = [*own, home], [*after, a], [*before, b], [*itself, twice]
+    got = class_lm.best_places(between, np.array(own), np.array(after), np.array(before), np.array(itself))
+    assert got.tolist() == want and (got != own).any()
+
+
+def test_contexts_by_any_number_of_classes(spark):
+    """Slots of a group need more than two bytes from 128 classes on; several rows of a group add up."""
+    rows = [(i, f"w{i % 300} w{i % 7} w{i % 300} w{i % 300}") for i in range(900)]
+    texts = spark.createDataFrame(rows, "doc_id long, text string").repartition(4).select("text")
+    words = np.sort(words_of([f"w{i}" for i in range(300)]).value)
+    classes = class_lm.Classes(words, np.arange(300) % 150, np.zeros(class_lm.SHAPES, dtype=np.int64), 150, 151)
+    between = class_lm.class_bigrams(class_lm.class_contexts(texts, classes), 151)
+    assert between.sum() == 900 * 5
+    table = np.zeros((512, 303))
+    for r in class_lm.class_contexts(texts, classes).where("words >= 0").collect():
+        slots = np.frombuffer(r["slots"], dtype=np.uint32)
+        np.add.at(table.reshape(-1), r["words"] * 256 * 303 + slots.astype(np.int64), class_lm.unpacked(r["counts"], len(slots)))
+    assert table[:, :151].sum() == table[:, 151:302].sum() == 900 * 4 and not table[300:].any()
+    moved = class_lm.best_classes(class_lm.class_contexts(texts, classes), classes, between)
+    assert len(moved) == 300 and ((moved >= 0) & (moved < 151)).all()
